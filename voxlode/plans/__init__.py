@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY, Query
 
-MODULES = ["text", "quality"]
+MODULES = ["text", "quality", "tagging", "scores"]
 
 
 def load_all() -> dict[str, Query]:

@@ -130,3 +130,75 @@ quality AS (SELECT k, x, jumpy, reject, useful,
       + least(useful * 0.5, 2) END::DOUBLE AS score,
   CASE WHEN length(x) < 20 THEN 'too_short' WHEN reject IS NOT NULL THEN 'low_quality_pattern:' || reject
     WHEN jumpy THEN 'incoherent' ELSE 'hq=' || CAST(useful AS VARCHAR) END AS reason FROM coh)"""
+
+
+# ---------------------------------------------------------------- lexicons
+
+from ..lexicon import Rule  # noqa: E402
+from ..operators.tagging import RelevanceWords, Scene  # noqa: E402
+
+RULES = [
+    Rule("speed_slow", "Slow answers", keywords=("thing", "ungen", "tionne"), patterns=(r"the \p{L}*ing", r"der \p{L}+ung"),
+         exclude=("idiot",), relevance=("with", "from", "nicht", "mit"), category="en", kind="problem", score=7),
+    Rule("search_find", "Find things", keywords=("that", "nicht", "dans", "para"), patterns=(r"for (the|a)", r"pour (la|les)"),
+         exclude=("license",), relevance=("was", "this", "avec"), category="fr", kind="feature", score=9),
+    Rule("price_high", "High price", keywords=("from", "auch", "ciónes"), patterns=(r"with \p{L}{8,}",),
+         relevance=("and", "und"), category="de", kind="policy", score=4),
+    Rule("login_fail", "Login fails", keywords=("erth", "heit", "mente"), patterns=(r"[ ]nd\p{L}+[ ]", r"[ ]que el[ ]"),
+         exclude=("with the", "mit dem"), context=("this", "sich", "los"), relevance=("on", "en"), category="es", kind="problem", score=6),
+    Rule("export_data", "Export data", keywords=("onto", "keit", "elle"), patterns=(r"[Aa]n \p{L}+tion",),
+         relevance=("are", "ist", "est", "es"), category="en", kind="feature", score=8),
+]
+RELEVANCE = RelevanceWords(
+    negative=["not", "nicht", "pas", "que no"], scenario=["was", "wird", "est "], positive=["thanth", "besser", "idiot"]
+)
+POSITIVE = ["and", "mit", "pour", "con", "this"]
+NEGATIVE = ["the ", "nicht", "pas ", "del ", "that"]
+PHRASE_PATTERNS = [(r"(with|from|for) (the|a|that)[ ]", 2), (r"(von|mit) (der|den|dem)[ ]", 2), (r"(pour) (la|les)[ ]", 2)]
+SCENES = [
+    Scene(("idiot",), "people are rude"),
+    Scene(("licen",), "the licence is unclear", when_words=("MIT",), when_sentence="the short licence is unclear"),
+    Scene(("was ", "est "), "it used to work", also=("with", "avec")),
+    Scene(("nicht",), "it does not work"),
+]
+EXPLAIN = {"with": "combine the parts", "nicht": "find what is missing", "que": "ask back"}
+EXPLAIN_FALLBACK = [(["fr"], "start from {kw}"), (["pa", "mi"], "improve {kw}")]
+
+
+def sql_rule_rows(select, rules=RULES) -> str:
+    """UNION ALL of ``select(rule, position)``."""
+    return " UNION ALL ".join(select(r, i) for i, r in enumerate(rules))
+
+
+def sql_hit(x: str, r: Rule) -> str:
+    bits = []
+    if r.keywords:
+        bits.append(sql_contains_any(x, r.keywords))
+    if r.patterns:
+        bits.append(f"regexp_matches({x}, {q('|'.join(f'(?:{p})' for p in r.patterns))})")
+    return "(" + " OR ".join(bits) + ")"
+
+
+def sql_match(x: str, r: Rule) -> str:
+    out = sql_hit(x, r)
+    return f"({out} AND NOT {sql_contains_any(x, r.exclude)})" if r.exclude else out
+
+
+def sql_relevance(x: str, r: Rule, w: RelevanceWords = RELEVANCE) -> str:
+    low = f"lower({x})"
+    occ = " + ".join(sql_occurrences(low, k) for k in r.keywords)
+    score = f"""greatest({sql_count_present(low, r.keywords)} * 2.0
+      + CASE WHEN length({x}) > 10 THEN least(({occ}) / (length({x}) / 50.0) * 2, 4) ELSE 0 END
+      + CASE WHEN {sql_contains_any(low, w.negative)} THEN 1 ELSE 0 END
+      + CASE WHEN {sql_contains_any(low, w.scenario)} THEN 1.5 ELSE 0 END
+      + CASE WHEN length({x}) BETWEEN 20 AND 200 THEN 1 WHEN length({x}) < 10 THEN -2 ELSE 0 END
+      - CASE WHEN {sql_contains_any(low, w.positive)} THEN 2 ELSE 0 END, 0)::DOUBLE"""
+    if r.context:
+        score = f"CASE WHEN {sql_contains_any(low, r.context)} THEN {score} ELSE 0 END"
+    return score
+
+
+RULE_RELEVANCE_SQL = sql_rule_rows(
+    lambda r, i: f"SELECT doc_id, {q(r.rule_id)} AS rule_id, {sql_relevance('text', r)} AS relevance_score FROM documents "
+    f"WHERE length(text) >= 10 AND {sql_contains_any('lower(text)', r.keywords)}"
+)
