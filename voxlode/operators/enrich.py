@@ -325,21 +325,20 @@ def overlapping_batches(rows: DataFrame, by: Sequence[str], order: Sequence[Colu
     return straight.unionByName(crossed)
 
 
-def dedupe_groups(items: DataFrame, item: str, suggestions: DataFrame, members: str, reason: str) -> DataFrame:
-    """Groups suggested by different batches, joined where they share items.
-
-    ``suggestions``: arrays of item ids with a reason.  Yields (item, root, note): root is the lowest id of the
-    connected part; ``note`` joins the reasons of its suggestions in order of their first item.
-    """
+def dedupe_groups(items: DataFrame, item: str, suggestions: DataFrame, members: str) -> DataFrame:
+    """Items with the ``root`` of their merged group: groups suggested by different batches join where
+    they share items, and the root is the lowest id of the connected part."""
     from .clustering import group_edges
 
     comp = connected_components(group_edges(suggestions, members)).withColumnRenamed("component", "root")
-    first = suggestions.filter(F.size(members) >= 2).select(F.get(F.col(members), 0).alias("node"), F.col(reason).alias("_why"))
-    notes = first.join(comp, "node").groupBy("root").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "_why"))), lambda e: e["_why"]), " | ").alias("note")
-    )
-    out = items.join(comp.withColumnRenamed("node", item), item, "left").withColumn("root", F.coalesce("root", item))
-    return out.join(notes, "root", "left")
+    out = items.join(comp.withColumnRenamed("node", item), item, "left")
+    return out.withColumn("root", F.coalesce("root", item))
+
+
+def group_notes(grouped: DataFrame, item: str, suggestions: DataFrame, members: str, reason: str) -> DataFrame:
+    """The reasons of the suggestions behind each root, one row each in order of their first item: (root, ord, note)."""
+    first = suggestions.filter(F.size(members) >= 2).select(F.get(F.col(members), 0).alias(item), F.col(reason).alias("note"))
+    return number_rows(first.join(grouped.select(item, "root"), item), ["root"], [F.col(item), F.col("note")], "ord").select("root", "ord", "note")
 
 
 def refine_field(rows: DataFrame, field: str, reply: str) -> DataFrame:

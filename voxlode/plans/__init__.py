@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY, Query
 
-MODULES = ["text", "quality", "tagging", "scores", "aggregates", "joins", "ranking", "clustering"]
+MODULES = ["text", "quality", "tagging", "scores", "aggregates", "joins", "ranking", "clustering", "enrich"]
 
 
 def load_all() -> dict[str, Query]:
