@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dates import parse_ts
-from .text import any_of, col, count_occurrences, count_present, extract_terms, has_any, let, trim_all
+from .text import col, count_occurrences, count_present, extract_terms, has_any, let, trim_all
 
 
 @dataclass(frozen=True)
@@ -233,7 +233,7 @@ def low_rating(c: Column | str, at_most: int = 3) -> Column:
 
 
 def pain_related(c: Column | str, keywords: Sequence[str]) -> Column:
-    return has_any(col(c), keywords)
+    return has_any(F.lower(col(c)), [k.lower() for k in keywords])
 
 
 def drop_stale_evidence(
@@ -262,6 +262,3 @@ def drop_stale_evidence(
     )
     others = evidence.filter((F.col("source") != source_name) | F.col("source").isNull())
     return others.unionByName(mine.filter(~old).drop("_known"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"annotations", "any_of"}]

@@ -6,10 +6,24 @@ import importlib
 
 from .registry import REGISTRY, Query
 
-MODULES = ["text", "quality", "tagging", "scores", "aggregates", "joins", "ranking", "clustering", "enrich"]
+MODULES = [
+    "demand_report",
+    "queries_text",
+    "queries_quality",
+    "queries_tagging",
+    "queries_scores",
+    "queries_aggregates",
+    "queries_joins",
+    "queries_ranking",
+    "queries_clustering",
+    "queries_enrich",
+    "queries_sources",
+    "queries_serving",
+    "need_mining",
+]
 
 
 def load_all() -> dict[str, Query]:
     for m in MODULES:
-        importlib.import_module(f"{__name__}.queries_{m}")
+        importlib.import_module(f"{__name__}.{m}")
     return REGISTRY

@@ -174,7 +174,7 @@ def low_rating(spark, d):
     return r.filter(quality.low_rating("rating")).select("id")
 
 
-@query("pain_related", "C15", f"SELECT doc_id FROM documents WHERE {B.sql_contains_any('text', ['nicht', 'without', 'sans', 'idiot'])}")
+@query("pain_related", "C15", f"SELECT doc_id FROM documents WHERE {B.sql_contains_any('lower(text)', ['nicht', 'without', 'sans', 'idiot'])}")
 def pain_related(spark, d):
     return table(spark, d, "documents").filter(
         quality.pain_related("text", ["nicht", "without", "sans", "idiot"])
