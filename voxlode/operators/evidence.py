@@ -29,7 +29,7 @@ def rated_for_demands(
     The demands are compiled into the projection; a text meets a demand only when one of the
     demand's words occurs in it.
     """
-    low = F.lower(F.col(text))
+    low = F.col("_low")
     relevance = [
         count_present(low, list(dict.fromkeys([*title_terms(t), *kw]))).alias(f"_rel{i}")
         for i, (_, t, kw) in enumerate(demands)
@@ -38,7 +38,7 @@ def rated_for_demands(
     touched = F.lit(0)
     for i in range(len(demands)):
         touched = touched + F.col(f"_rel{i}")
-    staged = rows.select("*", *relevance).withColumn(
+    staged = rows.withColumn("_low", F.lower(F.col(text))).select("*", *relevance).withColumn(
         "_gate", F.when(touched > 0, passes_rules(text, rules)).otherwise(F.lit(False))
     )
     cells = [
@@ -52,8 +52,7 @@ def rated_for_demands(
         )
         for i, (d, t, kw) in enumerate(demands)
     ]
-    found = F.filter(F.array(*cells), lambda x: x.isNotNull() & (x["quality"] > min_quality))
-    out = staged.select(*rows.columns, F.inline(found))
+    out = staged.select(*rows.columns, F.inline(F.array(*cells))).filter(F.col("quality") > min_quality)
     return out.withColumn("blend", blend_score(F.col("quality"), F.col("relevance")))
 
 

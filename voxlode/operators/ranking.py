@@ -80,9 +80,10 @@ def round_robin(
     order, unknown ones last (by name).
     """
     flagged = rows.withColumn("_p", F.coalesce(preferred, F.lit(False)))
-    any_p = flagged.groupBy(need).agg(F.max("_p").alias("_any"))
-    eligible = flagged.join(any_p, need).filter(F.col("_p") | ~F.col("_any")).drop("_p", "_any")
-    turn = top_k(eligible, [need, channel], list(order), k, "_turn")
+    # The first k of each (need, channel, preferred) are enough to decide everything, and they are few.
+    few = top_k(flagged, [need, channel, "_p"], list(order), k, "_turn")
+    any_p = F.max("_p").over(W.partitionBy(need))
+    turn = few.withColumn("_any", any_p).filter(F.col("_p") | ~F.col("_any")).drop("_p", "_any")
     place = F.lit(len(priority))
     for i, name in reversed(list(enumerate(priority))):
         place = F.when(F.col(channel) == name, i).otherwise(place)

@@ -84,6 +84,8 @@ def _filler(df: DataFrame, c: str) -> Column:
 
 def _home_cells(rows: DataFrame, row_id: str, vec: str, pivots: np.ndarray) -> dict[int, float]:
     """Radius of each non-empty cell: one number per pivot."""
+    if len(pivots) == 1:
+        return {0: math.pi}
 
     def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -110,6 +112,9 @@ def _visits(
     ``self``: home row (side 0) in its own cell, visitor (side 1) in reachable cells of lower number.
     ``home``: side 0 in its own cell only.  ``probe``: side 1 in every reachable cell.
     """
+    if len(pivots) == 1:
+        # A single cell needs no angles.
+        return rows.select(row_id, vec, F.lit(0).alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
     reach = np.array([radius.get(i, -np.inf) for i in range(len(pivots))]) + theta + _EPS
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -52,10 +52,21 @@ def tag_all(c: Column | str, rules: Sequence[Rule]) -> Column:
     return F.filter(F.array(*tags), lambda t: t.isNotNull())
 
 
-def _explode_rules(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
-    """Rows of ``df`` times the non-null structs, flattened."""
-    found = F.filter(F.array(*structs), lambda x: x.isNotNull())
-    return df.select("*", F.inline(found))
+_LOW = "_low"
+
+
+def _lowered(df: DataFrame, text: str) -> DataFrame:
+    """Adds the lower-cased text once; the many rule expressions refer to it."""
+    return df.withColumn(_LOW, F.lower(F.col(text)))
+
+
+def _explode_rules(df: DataFrame, columns: Sequence[str], structs: Sequence[Column], keep: str) -> DataFrame:
+    """Rows of ``df`` times the structs, flattened, where ``keep`` holds.
+
+    Generate and filter run in one generated stage; a filter inside the array would be a
+    higher-order function and leave it.
+    """
+    return df.select(*columns, F.inline(F.array(*structs))).filter(keep)
 
 
 def match_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
@@ -79,7 +90,7 @@ def match_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
                 ),
             )
         )
-    return _explode_rules(df, out)
+    return _explode_rules(df, df.columns, out, "rule_id is not null")
 
 
 def tag_best(c: Column | str, rules: Sequence[Rule]) -> Column:
@@ -99,14 +110,14 @@ def tag_best(c: Column | str, rules: Sequence[Rule]) -> Column:
 
 def score_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
     """One row per (text, rule) with a positive score: one per keyword, two per pattern."""
-    low = F.lower(F.col(text))
+    low = F.col(_LOW)
     out = []
     for r in rules:
         score = count_present(low, [k.lower() for k in r.keywords])
         for p in r.patterns:
             score = score + F.when(low.rlike(p), 2).otherwise(0)
         out.append(F.struct(F.lit(r.label or r.rule_id).alias("label"), score.alias("score")))
-    return df.select("*", F.inline(F.filter(F.array(*out), lambda x: x["score"] > 0)))
+    return _explode_rules(_lowered(df, text), df.columns, out, "score > 0")
 
 
 def lexicon_sentiment(c: Column | str, positive: Sequence[str], negative: Sequence[str]) -> Column:
@@ -122,7 +133,7 @@ class RelevanceWords:
     positive: Sequence[str] = ()
 
 
-def relevance_score(c: Column | str, rule: Rule, words: RelevanceWords) -> Column:
+def relevance_score(c: Column | str, rule: Rule, words: RelevanceWords, lowered: Column | None = None) -> Column:
     """How strongly a text speaks of a rule's problem.
 
     Two points per keyword present, up to four for their density (per 50 characters), one for a
@@ -130,7 +141,7 @@ def relevance_score(c: Column | str, rule: Rule, words: RelevanceWords) -> Colum
     minus two for a positive context; never below zero, and zero without a required context word.
     """
     s = col(c)
-    low = F.lower(s)
+    low = F.lower(s) if lowered is None else lowered
     n = F.length(s)
     keys = list(dict.fromkeys(k.lower() for k in rule.keywords))
     occurrences = F.lit(0)
@@ -155,18 +166,17 @@ def relevant_rules(
     df: DataFrame, text: str, rules: Sequence[Rule], words: RelevanceWords, threshold: float = 3.0
 ) -> DataFrame:
     """One row per (text, rule) with a keyword hit and a relevance of at least ``threshold``."""
-    s = F.col(text)
-    low = F.lower(s)
+    s, low = F.col(text), F.col(_LOW)
     out = [
         # The keyword test is the cheap gate: the score is computed behind it.
         F.when(
             has_any(low, [k.lower() for k in r.keywords]),
-            F.struct(F.lit(r.rule_id).alias("rule_id"), relevance_score(s, r, words).alias("relevance_score")),
+            F.struct(F.lit(r.rule_id).alias("rule_id"), relevance_score(s, r, words, low).alias("relevance_score")),
         )
         for r in rules
     ]
-    kept = F.filter(F.array(*out), lambda x: x.isNotNull() & (x["relevance_score"] >= threshold))
-    return df.filter(F.length(s) >= 10).select("*", F.inline(kept))
+    staged = _lowered(df.filter(F.length(s) >= 10), text)
+    return _explode_rules(staged, df.columns, out, f"relevance_score >= {float(threshold)}")
 
 
 def keyword_hits(df: DataFrame, text: str, rating: str, rules: Sequence[Rule], max_rating: int = 3) -> DataFrame:
@@ -174,7 +184,7 @@ def keyword_hits(df: DataFrame, text: str, rating: str, rules: Sequence[Rule], m
     s = F.col(text)
     out = [F.struct(F.lit(r.rule_id).alias("rule_id"), count_present(s, r.keywords).alias("hits")) for r in rules]
     low = df.filter(F.coalesce(F.col(rating), F.lit(5)) <= max_rating)
-    return low.select("*", F.inline(F.filter(F.array(*out), lambda x: x["hits"] > 0)))
+    return _explode_rules(low, df.columns, out, "hits > 0")
 
 
 def demand_tier(

@@ -14,6 +14,7 @@ from ..functions.text import truncate
 from ..lexicon import Rule
 from ..operators.ranking import coded_order, top_k
 from ..operators.tagging import match_rules
+from ..session import cut
 from ..sources.tables import REVIEWS_SQL, reviews
 from . import bindings as B
 from .registry import query
@@ -24,12 +25,13 @@ def rank_demands(
 ) -> DataFrame:
     """One row per (demand, quote): section, title, mentions, low-rating share, composite score and quote.
 
-    ``rows``: id, rating, date, content.  One pass over the texts; the only shuffles are the count per rule and the
-    top-k per rule, both reduced in the map tasks.
+    ``rows``: id, rating, date, content.  The texts are read and judged once: the narrow hits (with the quote already
+    cut) are stored, then counted and ranked per rule, both reduced in the map tasks.
     """
     recent = rows.filter(recent_only("date", cutoff))
     good = assess_quality(recent, "content", quality).filter("keep")
-    hits = match_rules(good.select("id", "rating", "content"), "content", rules)
+    matched = match_rules(good.select("id", "rating", "content"), "content", rules)
+    hits = cut(matched.select("id", "rating", "rule_id", "rule_ord", "relevance", truncate("content", 250).alias("quote")))
     stats = hits.groupBy("rule_id", "rule_ord").agg(
         F.count(F.lit(1)).alias("mentions"), F.avg((F.col("rating") <= 2).cast("double")).alias("low_share")
     )
@@ -41,7 +43,7 @@ def rank_demands(
         "rule_id", "mentions", "low_share", attr(lambda r: r.kind).alias("section"), attr(lambda r: r.label).alias("title"), attr(lambda r: r.score).alias("ai_score")
     ).withColumn("composite", composite_score(F.col("ai_score"), F.col("mentions"), F.col("low_share"), full_at))
     best = top_k(hits, ["rule_id"], [F.desc("relevance"), "rating", "id"], quotes, "quote_no")
-    said = best.select("rule_id", "quote_no", "id", truncate("content", 250).alias("quote"))
+    said = best.select("rule_id", "quote_no", "id", "quote")
     return stats.join(said, "rule_id").withColumn("section_no", coded_order("section", sections))
 
 

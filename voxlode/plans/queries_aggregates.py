@@ -8,6 +8,7 @@ from ..functions import quality
 from ..functions.text import extract_intent, extract_terms
 from ..operators import aggregates as A
 from ..operators import tagging
+from ..session import cut
 from ..sources.tables import ATOMS_SQL, COMMENTS_SQL, REVIEWS_SQL, atoms, comments, reviews, table
 from . import bindings as B
 from .queries_scores import STATS_SQL, demand_stats
@@ -229,5 +230,6 @@ SELECT rule_id, CAST(max(matched) AS BIGINT) AS matched, string_agg(id, ' ' ORDE
 FROM k WHERE r <= 5 AND matched >= 2 GROUP BY rule_id""")
 def matched_group(spark, d):
     h = tagging.keyword_hits(reviews(spark, d).select("id", "app_name", "rating", "content"), "content", "rating", B.RULES)
-    g = A.matched_group(h.drop("content"), "rule_id", "hits", "id", "app_name")
+    # The hits are narrow and used twice: stored, so the texts are read once.
+    g = A.matched_group(cut(h.drop("content", "rating")), "rule_id", "hits", "id", "app_name")
     return g.select("rule_id", "matched", F.array_join("top_rows", " ").alias("top_rows"), F.array_join("apps", " ").alias("apps"))

@@ -8,7 +8,8 @@ from ..functions.scores import WEIGHT_AI, WEIGHT_COMMONALITY, WEIGHT_IMPORTANCE
 from ..operators import aggregates as A
 from ..operators import ranking as R
 from ..operators import tagging
-from ..session import scratch_path
+from ..functions.text import trim_all, truncate
+from ..session import cut, scratch_path
 from ..sources import containers as K
 from ..sources import feeds, pages, reports, sinks
 from ..sources.tables import COMMENTS_SQL, REVIEWS_SQL, comments, reviews, table
@@ -175,6 +176,7 @@ def extract_embedded_json(spark, d):
 def ranked_demands(spark, d):
     """Demand stats and rated samples of the rule lexicon over all reviews."""
     m = tagging.match_rules(reviews(spark, d).select("id", "rating", "content"), "content", B.RULES)
+    m = cut(m.withColumn("content", truncate(trim_all("content"), 250)))
     g = m.groupBy("rule_id").agg(F.count(F.lit(1)).alias("mentions"), F.avg((F.col("rating") <= 2).cast("double")).alias("low"))
     attr = lambda f: F.coalesce(*[F.when(F.col("rule_id") == r.rule_id, F.lit(f(r))) for r in B.RULES])
     from ..functions.scores import composite_score

@@ -35,7 +35,7 @@ def _ddl(fields: str) -> str:
 
 def read_texts(spark: SparkSession, path: str | Sequence[str], whole: bool = True) -> DataFrame:
     """Container texts with their file: (file_name, modified, body); one per file, or one per line."""
-    raw = spark.read.option("wholetext", whole).text(path)
+    raw = spark.read.text(path, wholetext=whole)
     return raw.select(
         F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("body")
     )

@@ -76,7 +76,7 @@ def parse_ranked_report(spark: SparkSession, path: str | Sequence[str], fmt: Rep
     Section headers are carried forward, titles open a record, the metrics line fills it, and a
     star line takes the quoted text within the next four lines.
     """
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     lines = raw.select("file", F.posexplode(F.split("value", "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
     e = lambda x: re.escape(x.strip())
     first = lambda p, g=1: F.when(F.col("line").rlike(p), F.regexp_extract("line", p, g))

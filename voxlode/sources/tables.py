@@ -6,12 +6,29 @@ can start from the same rows.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Key of each table whose rows are costly to process (texts, vectors).
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id"}
+SMALL_FILE = 128 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table.
+
+    A small local Parquet file is one row group and would be one task; its rows are spread over the
+    cores by key.  Tables of cluster size have enough row groups and are read as they are.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    local = Path(path)
+    if name in SPREAD_KEYS and local.is_file() and local.stat().st_size < SMALL_FILE:
+        return df.repartition(spark.sparkContext.defaultParallelism, SPREAD_KEYS[name])
+    return df
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
