@@ -175,7 +175,7 @@ def top_terms(c: Column | str, token: str, n: int, stopwords: Sequence[str] = ()
         return F.transform(F.slice(let(starts, ranked), 1, n), lambda r: r["term"])
 
     empty = F.array().cast("array<string>")
-    return let(pairs, lambda p: F.when(F.size(p) == 0, empty).otherwise(runs(p)))
+    return let(pairs, lambda p: F.when(F.coalesce(F.size(p), F.lit(0)) <= 0, empty).otherwise(runs(p)))
 
 
 def term_overlap(a: Column, b: Column) -> Column:

@@ -62,7 +62,7 @@ def _pivots(rows: DataFrame, row_id: str, vec: str) -> np.ndarray:
     n = rows.count()
     p = int(min(MAX_PIVOTS, max(1, math.ceil(n / (4 * BLOCK)))))
     picked = rows.orderBy(F.xxhash64(row_id), row_id).select(vec).limit(p).collect()
-    return np.array([r[0] for r in picked], dtype=np.float64).reshape(len(picked), -1)
+    return np.array([r[0] for r in picked], dtype=np.float64).reshape(len(picked), len(picked[0][0]) if picked else 0)
 
 
 def _angles(block: np.ndarray, pivots: np.ndarray) -> np.ndarray:
