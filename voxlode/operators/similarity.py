@@ -113,8 +113,9 @@ def _visits(
     ``home``: side 0 in its own cell only.  ``probe``: side 1 in every reachable cell.
     """
     if len(pivots) == 1:
-        # A single cell needs no angles.
-        return rows.select(row_id, vec, F.lit(0).alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
+        # A single cell needs no angles.  Its number is computed, so that the join on it keeps a key.
+        cell = F.pmod(F.xxhash64(row_id), F.lit(1)).cast("int")
+        return rows.select(row_id, vec, cell.alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
     reach = np.array([radius.get(i, -np.inf) for i in range(len(pivots))]) + theta + _EPS
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

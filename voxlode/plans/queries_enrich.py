@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import dates, quality
 from ..operators import enrich as N
 from ..session import scratch_path
-from ..sources.tables import ATOMS_SQL, REVIEWS_SQL, atoms, comments, reviews, table
+from ..sources.tables import ATOMS_SQL, COMMENTS_SQL, REVIEWS_SQL, atoms, comments, reviews, table
 from . import bindings as B
-from .registry import query
+from . import queries_quality  # noqa: F401 - its SQL is reused
+from .registry import REGISTRY, query
 
 TEMPLATE = "source {source} product {product} ({perspective}, {weight})\nTEXT:{content}"
 
@@ -37,14 +38,17 @@ def cluster_prompt(spark, d):
     return s.select("label", F.md5("statements").alias("statements"))
 
 
-@query("infer_batches", "J2 F9")
+_PROMPT_SQL = """'source ' || channel || ' product ' || CASE WHEN channel <> 'forum' THEN app_name WHEN doc_id % 5 <> 0 THEN 'story ' || category ELSE 'unknown' END
+  || ' (' || CASE WHEN channel = 'forum' THEN 'tech' ELSE 'consumer' END || ', ' || rating || ')' || chr(10) || 'TEXT:' || substr(content, 1, 1500)"""
+
+
+@query("infer_batches", "J2 F9", f"SELECT id, CAST(length({_PROMPT_SQL}) // 4 AS BIGINT) AS prompt_tokens, true AS answered FROM ({REVIEWS_SQL})")
 def infer_batches(spark, d):
     p = _candidates(spark, d).select("id", N.atom_prompt(TEMPLATE, "forum").alias("prompt"))
     path = scratch_path(spark, "replies")
-    first = N.infer_batches(p.filter("substr(id, -1, 1) in ('1', '3')"), "id", "prompt", N.RuleClient, 4, path)
-    assert first is not None
+    N.infer_batches(p.filter("substr(id, -1, 1) in ('1', '3')"), "id", "prompt", N.RuleClient, 4, path)
     # The second run asks only for what the first left open.
-    return N.resume_infer(p, "id", "prompt", N.RuleClient, 4, path).select("id", F.length("reply").alias("reply_chars"), "prompt_tokens")
+    return N.resume_infer(p, "id", "prompt", N.RuleClient, 4, path).select("id", "prompt_tokens", F.col("reply").isNotNull().alias("answered"))
 
 
 _REPLY = """CASE doc_id % 6
@@ -149,7 +153,12 @@ def refine_field(spark, d):
     return out.select("id", F.md5("description").alias("description"), "refined")
 
 
-@query("translate_missing", "J10")
+_FIRST = "string_split(content, chr(10))[1]"
+
+
+@query("translate_missing", "J10", f"""
+WITH low AS ({REGISTRY["is_low_quality_comment"].sql}), c AS (SELECT c.* FROM ({COMMENTS_SQL}) c JOIN low ON low.id = c.id WHERE NOT low.low AND c.date >= '2024-02-01')
+SELECT id, true AS has_translation, CAST(length(CASE WHEN id % 4 = 0 THEN 'é' || substr(content, 1, 20) WHEN contains(content, 'der') THEN 'ê ' || {_FIRST} ELSE 'é ' || {_FIRST} END) AS INTEGER) AS chars FROM c""")
 def translate_missing(spark, d):
     c = comments(spark, d)
     done = c.filter("id % 4 = 0").select("id", F.concat(F.lit("é"), F.substring("content", 1, 20)).alias("content_zh"))

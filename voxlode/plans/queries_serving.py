@@ -112,20 +112,23 @@ def _main_and_new(spark, d):
     return main, new
 
 
-@query("merge_increment", "L3 F8", """
+_MERGED_SQL = """
 WITH p AS (SELECT n.vec_id AS n, m.vec_id AS m, n.label + 1 AS size, list_cosine_similarity(n.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS sim
   FROM embeddings n JOIN embeddings m ON n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0),
 b AS (SELECT * FROM p WHERE sim >= 0.35 QUALIFY row_number() OVER (PARTITION BY n ORDER BY round(sim, 12) DESC, m) = 1),
 g AS (SELECT m, sum(size) AS add FROM b GROUP BY m)
 SELECT 'm' || lpad(CAST(vec_id AS VARCHAR), 9, '0') AS id, CAST(vec_id % 17 + coalesce(add, 0) AS BIGINT) AS mention_count, false AS is_new, CASE WHEN add IS NOT NULL THEN '2024-07-01' END AS last_updated_at
 FROM embeddings LEFT JOIN g ON g.m = vec_id WHERE vec_id % 4 <> 0
-UNION ALL SELECT 'all_demand_new_2024-07-01_' || vec_id, CAST(label + 1 AS BIGINT), true, NULL FROM embeddings WHERE vec_id % 4 = 0 AND vec_id NOT IN (SELECT n FROM b)""")
+UNION ALL SELECT 'all_demand_new_2024-07-01_' || vec_id, CAST(label + 1 AS BIGINT), true, NULL FROM embeddings WHERE vec_id % 4 = 0 AND vec_id NOT IN (SELECT n FROM b)"""
+
+
+@query("merge_increment", "L3 F8", _MERGED_SQL)
 def merge_increment(spark, d):
     main, new = _main_and_new(spark, d)
     return L.merge_increment(main, new, "embedding", "2024-07-01", 0.35).select("id", "mention_count", "is_new", "last_updated_at")
 
 
-@query("merge_stream", "L3 A11")
+@query("merge_stream", "L3 A11", _MERGED_SQL)
 def merge_stream(spark, d):
     """The same merge driven by a stream of new rows."""
     main, new = _main_and_new(spark, d)
