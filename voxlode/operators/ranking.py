@@ -306,7 +306,7 @@ def merge_evidence_pools(pools: Sequence[DataFrame], by: str, text: str, quality
     return top_k(distinct, [by], [F.desc(quality), F.col("pool"), F.col("pool_rank")], k)
 
 
-def needed_mapping(names: Mapping[str, str], c: Column | str) -> Column:
+def display_name(names: Mapping[str, str], c: Column | str) -> Column:
     """Display names of sources; unknown ones stay."""
     out = col(c)
     for k, v in names.items():

@@ -131,8 +131,8 @@ SELECT id, content_chars, rating, points FROM (
   SELECT id, length(content) AS content_chars, rating, NULL::INTEGER AS points FROM ({REVIEWS_SQL})
   UNION ALL SELECT 'hn_' || CAST(id AS VARCHAR), length(content), NULL::INTEGER, points FROM ({COMMENTS_SQL}))""")
 def union_sources(spark, d):
-    r = reviews(spark, d).select("id", F.length("content").alias("content_chars"), "rating")
+    r = reviews(spark, d).select("id", F.length("content").cast("bigint").alias("content_chars"), "rating")
     c = comments(spark, d).select(
-        F.concat(F.lit("hn_"), F.col("id").cast("string")).alias("id"), F.length("content").alias("content_chars"), "points"
+        F.concat(F.lit("hn_"), F.col("id").cast("string")).alias("id"), F.length("content").cast("bigint").alias("content_chars"), "points"
     )
     return r.unionByName(c, allowMissingColumns=True)

@@ -170,7 +170,7 @@ def refresh_evidence(spark, d):
     fresh = _spread(spark, d).select(F.col("topic").alias("demand_id"), "row_id", F.lit("fresh").alias("state"))
     old = tagging.match_rules(reviews(spark, d).select("id", "content"), "content", B.RULES)
     names = {r.rule_id: r.label for r in B.RULES}
-    old = R.top_k(old.withColumn("demand_id", R.needed_mapping(names, "rule_id")), ["demand_id"], ["id"], 5)
+    old = R.top_k(old.withColumn("demand_id", R.display_name(names, "rule_id")), ["demand_id"], ["id"], 5)
     return R.refresh_evidence(old.select("demand_id", F.col("id").alias("row_id"), F.lit("old").alias("state")), fresh, "demand_id")
 
 

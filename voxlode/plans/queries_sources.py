@@ -207,7 +207,7 @@ UNION ALL SELECT rank, 1, '#' || rank || ' ' || title FROM k
 UNION ALL SELECT rank, r * 2 + 1, '  [' || r || '] ' || repeat('★', rating) || repeat('☆', 5 - rating) || ' (' || rating || ')' FROM t JOIN k USING (rule_id)
 UNION ALL SELECT rank, r * 2 + 2, '      “' || CASE WHEN length(c) > 250 THEN substr(c, 1, 250) || '...' ELSE c END || '”' FROM (SELECT *, replace({B.sql_trim('content')}, chr(10), ' ') AS c FROM t) t JOIN k USING (rule_id)""")
 def report_lines(spark, d):
-    return _report(spark, d).filter("part <> 2").select("rank", "part", "line")
+    return _report(spark, d).filter("part <> 2").select("rank", F.col("part").cast("bigint").alias("part"), "line")
 
 
 @query("parse_ranked_report", "A9", f"""
