@@ -67,7 +67,8 @@ _HITS = B.sql_rule_rows(
 
 @query("demand_report", "C12 C3 D3 G6 E6 H12 H11", f"""
 WITH r AS ({REVIEWS_SQL}), {B.sql_quality_cte('r', 'id', 'content')},
-good AS (SELECT r.* FROM r JOIN quality q ON q.k = r.id WHERE q.score >= 2 AND r.date >= '2024-02-01'),
+good AS (SELECT r.* FROM r JOIN quality q ON q.k = r.id WHERE q.score >= 2
+  AND TRY_CAST(CASE WHEN length(r.date) = 10 THEN r.date || 'T00:00:00Z' ELSE r.date END AS TIMESTAMPTZ) >= TIMESTAMPTZ '2024-02-01 00:00:00+00'),
 h AS ({_HITS}),
 s AS (SELECT rule_id, section, title, ai, count(*) AS mentions, avg(CASE WHEN rating <= 2 THEN 1.0 ELSE 0.0 END) AS low FROM h GROUP BY rule_id, section, title, ai),
 t AS (SELECT rule_id, id, content, row_number() OVER (PARTITION BY rule_id ORDER BY relevance DESC, rating, id) AS n FROM h QUALIFY n <= 3)

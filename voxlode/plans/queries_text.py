@@ -13,7 +13,7 @@ _ENT = "html"
 for _name, _char in text.ENTITIES.items():
     _ENT = f"replace({_ENT}, {B.q(_name)}, {B.q(_char)})"
 # Named entities of the pages that the common list leaves to the full decoder.
-_ENT = f"replace(replace({_ENT}, '&copy;', chr(169)), '&middot;', chr(183))"
+_ENT = f"replace(replace(replace({_ENT}, '&copy;', chr(169)), '&middot;', chr(183)), '&amp', '&')"
 
 
 @query("clean_html", "B1", f"""
