@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, idfile
+from . import bpe, idfile, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -35,6 +35,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Bytes of text in a shard at most.
+SHARD_LIMIT = 1 << 20
+
+
+@query("op1_sharding", sharding.ORACLE.format(limit=SHARD_LIMIT))
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard."""
+    return sharding.assign(given(spark, sf_dir, "documents"), SHARD_LIMIT)
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
@@ -47,3 +57,24 @@ def op4_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "op4-ids")
     idfile.write_ids(given(spark, sf_dir, "documents"), folder, tokenizer_path())
     return idfile.read_index(spark, folder)
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+  SELECT digest, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY digest
+)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100
+"""
+
+
+@query("op9_warc", OP9_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    folder = scratch_path(spark, "op9-warc")
+    warc.write_archives(given(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, payloads=False).drop("url")
