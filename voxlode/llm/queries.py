@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, idfile, sharding, warc
+from . import bpe, idfile, sharding, suffix_dedup, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -45,6 +45,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(given(spark, sf_dir, "documents"), SHARD_LIMIT)
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 100-byte strings."""
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(given(spark, sf_dir, "documents")))
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
