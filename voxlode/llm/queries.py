@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, idfile, sharding, suffix_dedup, warc
+from . import bpe, decontam, idfile, sharding, suffix_dedup, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -84,3 +84,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "op9-warc")
     warc.write_archives(given(spark, sf_dir, "pages"), folder)
     return warc.read_archives(spark, folder, payloads=False).drop("url")
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of every document stand in a benchmark window, and of which items."""
+    return decontam.digest(decontam.find_leaks(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")))
