@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, idfile, sharding, suffix_dedup, warc
+from . import bpe, decontam, divergence, idfile, sharding, suffix_dedup, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -90,3 +90,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of every document stand in a benchmark window, and of which items."""
     return decontam.digest(decontam.find_leaks(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")))
+
+
+@query("op6_divergence")
+def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document, against references learned from all documents."""
+    docs = given(spark, sf_dir, "documents")
+    return divergence.judge(docs, divergence.learn_references(docs))
