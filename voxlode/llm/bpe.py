@@ -111,9 +111,10 @@ def codec(path: str) -> BytePairs:
     return BytePairs(path)
 
 
-def cut_pieces(texts: pa.Array, unsafe: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(pieces, code, offset): distinct pieces, and each text as codes into them.  The pieces of text i are
-    code[offset[i]:offset[i + 1]].  Pieces after the first of a text begin with the space before them."""
+def cut_pieces(texts: pa.Array, unsafe: str) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
+    """(pieces, code, offset, whole): distinct pieces, and each text as codes into them.  The pieces of text i are
+    code[offset[i]:offset[i + 1]].  Pieces after the first of a text begin with the space before them.
+    The last ``whole`` pieces are texts that were not cut; only these can hold a special token."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     whole = np.asarray(pc.match_substring_regex(texts, unsafe))
     parts = pc.split_pattern(pc.if_else(pa.array(~whole), texts, ""), " ")
@@ -126,17 +127,20 @@ def cut_pieces(texts: pa.Array, unsafe: str) -> tuple[pa.Array, np.ndarray, np.n
     if whole.any():
         at = np.flatnonzero(whole)
         code[first[at]] = 2 * plain + np.arange(len(at))
-    used, code = np.unique(code, return_inverse=True)
+    seen = np.zeros(2 * plain + np.count_nonzero(whole), bool)
+    seen[code] = True
+    used = np.flatnonzero(seen)
+    code = (np.cumsum(seen) - 1)[code]
     tail = used[used < plain]
     head = used[(used >= plain) & (used < 2 * plain)] - plain
     spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), coded.dictionary.take(pa.array(tail)), pa.scalar(" ", pa.large_string()))
     pieces = [spaced, coded.dictionary.take(pa.array(head)), texts.filter(pa.array(whole))]
-    return pa.concat_arrays([p.cast(pa.large_string()) for p in pieces]), code, offset
+    return pa.concat_arrays([p.cast(pa.large_string()) for p in pieces]), code, offset, int(np.count_nonzero(whole))
 
 
 def encode_column(texts: pa.Array, path: str) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
     pairs = codec(path)
-    pieces, code, offset = cut_pieces(texts, pairs.unsafe)
+    pieces, code, offset, _ = cut_pieces(texts, pairs.unsafe)
     return [pairs.encode(p) for p in pieces.to_pylist()], code, offset
 
 

@@ -19,16 +19,18 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import UNSAFE, cut_pieces, expand
+from .bpe import PATTERN, UNSAFE, cut_pieces, expand
 from .flat import slices
 
 HEAD = struct.Struct("<4sIQIQ")
@@ -37,11 +39,12 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int6
 
 
 def write_shard(ids: np.ndarray, per_doc: np.ndarray) -> bytes:
-    distinct, code, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((distinct, -count))
-    rank = np.empty(len(order), np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
-    value = rank[code]
+    count = np.bincount(ids)  # ids are below the size of the vocabulary
+    distinct = np.flatnonzero(count)
+    order = np.argsort(-count[distinct], kind="stable")
+    rank = np.zeros(len(count), np.uint32)
+    rank[distinct[order]] = np.arange(len(order), dtype=np.uint32)
+    value = rank[ids]
     width = 1 + (value >= 1 << 8) + (value >= 1 << 16) + (value >= 1 << 24)
     at = np.cumsum(width) - width
     data = np.zeros(int(width.sum()), np.uint8)
@@ -88,22 +91,71 @@ def _library(path: str):
     return t, UNSAFE + special
 
 
+class KnownIds:
+    """Ids of pre-tokens (as bytes) in the memory of a worker; the library encodes a pre-token when it isn't there.
+
+    Pre-tokens are encoded independently of each other, so the library's ids of a text are those of its pre-tokens in a row.
+    What hasn't been used since ``HALF`` other pre-tokens came is forgotten.
+    """
+
+    HALF, LOT = 250_000, 20_000
+
+    def __init__(self, path: str):
+        self.library = _library(path)[0]
+        self.split = regex.compile(PATTERN).findall
+        self.special = regex.compile("(" + "|".join(regex.escape(x.content) for x in self.library.get_added_tokens_decoder().values()) + ")")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def tokens(self, text: str) -> list[str]:
+        """Pre-tokens and added tokens of a text."""
+        return [t for i, part in enumerate(self.special.split(text)) for t in ([part] if i % 2 else self.split(part))]
+
+    def ids(self, pieces: list[str], whole: int) -> list[bytes]:
+        """Ids of every piece; only the last ``whole`` ones can hold an added token."""
+        plain = len(pieces) - whole
+        cut = [*map(self.split, pieces[:plain]), *map(self.tokens, pieces[plain:])]
+        young, old = self.young, self.old
+        new = []
+        for tokens in cut:
+            for t in tokens:
+                if t not in young:
+                    if t in old:
+                        young[t] = old[t]
+                    else:
+                        young[t] = b""
+                        new.append(t)
+        for i in range(0, len(new), self.LOT):
+            lot = new[i : i + self.LOT]
+            for t, e in zip(lot, self.library.encode_batch_fast(lot, add_special_tokens=False)):
+                young[t] = array("I", e.ids).tobytes()
+        out = [young[t[0]] if len(t) == 1 else b"".join([young[x] for x in t]) for t in cut]
+        if len(young) > self.HALF:
+            self.old, self.young = young, {}
+        return out
+
+
+@lru_cache(maxsize=2)
+def _known(path: str) -> KnownIds:
+    return KnownIds(path)
+
+
 def _quoted(s: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in s)
 
 
 def _shards(path: str, end_id: int, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    library, unsafe = _library(path)
+    _, unsafe = _library(path)
     part = TaskContext.get().partitionId()
     for seq, rows in enumerate(slices(batches)):
-        pieces, code, offset = cut_pieces(rows.column(1), unsafe)
-        per_piece = [e.ids for e in library.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
-        per_piece.append([end_id])
+        pieces, code, offset, whole = cut_pieces(rows.column(1), unsafe)
+        per_piece = _known(path).ids(pieces.to_pylist(), whole)
+        per_piece.append(array("I", [end_id]).tobytes())
         # Every document gets one more piece: the end.
         code = np.insert(code, offset[1:], len(per_piece) - 1)
         offset = offset + np.arange(len(offset))
-        size = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
-        flat = np.fromiter((i for ids in per_piece for i in ids), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, per_piece), np.int64, len(per_piece)) // 4
+        flat = np.frombuffer(b"".join(per_piece), np.uint32)
         ids, edge = expand(flat, size, code, offset)
         keys = rows.column(0)
         yield pa.RecordBatch.from_arrays(
@@ -126,12 +178,14 @@ def write_ids(df: DataFrame, folder: str, path: str, end_id: int = 0, key: str =
 
 def _documents(key_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        for at, keys, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).to_pylist()):
+        for part, seq, keys, raw in zip(*(c.to_pylist() for c in rows.columns)):
             ids, per_doc = read_shard(raw)
             edge = np.concatenate(([0], np.cumsum(per_doc, dtype=np.int64)))
             raw_ids = memoryview(ids.astype("<u4").tobytes())
             crc = [zlib.crc32(raw_ids[4 * a : 4 * b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(at + edge[:-1]), pa.array(np.diff(edge)), pa.array(crc, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
+            n = len(keys)
+            cols = [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(keys, key_type), pa.array(edge[:-1]), pa.array(np.diff(edge)), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["part", "seq", "key", "start", "n_tokens", "ids_crc32"])
 
 
 def shard_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,8 +200,11 @@ def read_index(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFra
     shards = spark.read.parquet(folder)
     kind = shards.schema["first"].dataType.simpleString()
     arrow = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
-    rows = shards.join(shard_starts(spark, folder), ["part", "seq"]).select("at", "keys", "shard")
-    return rows.mapInArrow(lambda it: _documents(arrow, it), f"key {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
+    rows = shards.select("part", "seq", "keys", "shard").mapInArrow(
+        lambda it: _documents(arrow, it), f"part int, seq int, key {kind}, start long, n_tokens long, ids_crc32 long"
+    )
+    placed = rows.join(shard_starts(spark, folder), ["part", "seq"])
+    return placed.select(F.col("key").alias(key), (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
