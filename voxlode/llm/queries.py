@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, divergence, idfile, sharding, suffix_dedup, warc
+from . import bpe, decontam, divergence, idfile, ngram_join, sharding, suffix_dedup, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -97,3 +97,9 @@ def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document, against references learned from all documents."""
     docs = given(spark, sf_dir, "documents")
     return divergence.judge(docs, divergence.learn_references(docs))
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and component at similarity 0.85 on four-word shingles."""
+    return ngram_join.components(given(spark, sf_dir, "documents"), percent=85, width=4)
