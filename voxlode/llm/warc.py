@@ -70,7 +70,7 @@ def members(blocks: Iterable[bytes]) -> Iterator[Iterator[bytes]]:
                 raise ValueError("archive ends within a member")
             rest = b""
             yield unpack.decompress(data, BLOCK)
-            while unpack.unconsumed_tail:
+            while unpack.unconsumed_tail and not unpack.eof:
                 yield unpack.decompress(unpack.unconsumed_tail, BLOCK)
         rest = unpack.unused_data
 
