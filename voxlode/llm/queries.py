@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, divergence, idfile, ngram_join, sharding, suffix_dedup, warc
+from . import bpe, decontam, divergence, idfile, ngram_join, sharding, suffix_dedup, toxicity, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -103,3 +103,14 @@ def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and component at similarity 0.85 on four-word shingles."""
     return ngram_join.components(given(spark, sf_dir, "documents"), percent=85, width=4)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.learn(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"), toxicity.fold("doc_id", 5) != 0)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; labels of the held-out fifth are not read."""
+    scored = toxicity.score(given(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (toxicity.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
