@@ -35,10 +35,13 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from ..session import cut, scratch_path, shuffle_width
-from .flat import flatten, lower_ascii, range_hashes, slices, text_bytes, window_hashes, words
+from .flat import flatten, lower_ascii, mix, range_hashes, slices, text_bytes, window_hashes, words
 
 BUCKET_BITS, SLICE_BITS = 22, 16
 FREQUENT_SHARE, FREQUENT_LEAST = 16, 1024
+#: Bits of the filter that keeps sets nobody asks for from being written; beyond some ten million documents it lets more through.
+FILTER_BITS = 25
+NO_ID = -(1 << 63)
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -190,6 +193,40 @@ def _live(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": lot["key"].view("<i8"), "node": lot["node"], "n": lot["n"].astype(np.int64), "at": lot["at"].astype(np.int64)})
 
 
+def doc_bits(docs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of every id in the filter of chosen documents."""
+    h = mix(np.array([NO_ID if d is None else d for d in docs.to_pylist()], np.int64).view(np.uint64))
+    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for rows in batches:
+        for at in doc_bits(rows.column(0)):
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    for part, piece in enumerate(bits.reshape(-1, 1 << SLICE_BITS)):
+        if piece.any():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], ["part", "bits"])
+
+
+def _unite_marks(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(1 << SLICE_BITS, np.uint8)
+    for raw in pdf.bits:
+        total |= np.frombuffer(zlib.decompress(raw), np.uint8)
+    return pd.DataFrame({"part": pdf.part.iloc[:1], "bits": [total.tobytes()]})
+
+
+def _sets(width: int, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole sets of the documents that the filter lets through.  Some may come that weren't chosen, or twice: they change
+    nothing, since pairs name the nodes that are compared."""
+    for rows in slices(batches):
+        first, second = doc_bits(rows.column(0))
+        inside = (bits[first >> 3] >> (first & 7) & bits[second >> 3] >> (second & 7) & 1).astype(bool)
+        texts = rows.column(1).filter(pa.array(inside))
+        sets = shingle_sets(text_bytes(texts), width) if len(texts) else []
+        yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([packed_set(s) for s in sets], pa.binary())], ["node", "tokens"])
+
+
 # ---- candidates and verification ----------------------------------------------------------------------------------
 
 
@@ -256,11 +293,16 @@ def components(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc
 
     # Whole sets of the nodes that have a key in common with another, one document for each.
     chosen = nodes.join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
+    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for r in chosen.select("doc").mapInArrow(_mark, "part int, bits binary").groupBy("part").applyInPandas(_unite_marks, "part int, bits binary").collect():
+        bits[r.part << SLICE_BITS : (r.part + 1) << SLICE_BITS] = np.frombuffer(r.bits, np.uint8)
+    marks = spark.sparkContext.broadcast(bits)
     folder = scratch_path(spark, "ngram-sets")
-    docs.join(chosen, "doc").select("node", "text").mapInArrow(lambda it: _sets(width, it), "node long, tokens binary").dropDuplicates(["node"]).write.parquet(folder)
+    docs.mapInArrow(lambda it: _sets(width, marks.value, it), "node long, tokens binary").write.parquet(folder)
     sets = spark.read.schema("node long, tokens binary").parquet(folder)
 
-    member = F.struct("node", "n", "at")
+    # The node in which a key comes first has the fewest tokens of its own before it: the likeliest original.
+    member = F.struct("at", "node", "n")
     pivots = live.groupBy("key").agg(F.min(member).alias("pivot"))
     near = (
         live.join(pivots, "key").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("pivot.node").alias("b"), F.col("pivot.n").alias("nb"), F.col("pivot.at").alias("ib"))
@@ -293,12 +335,6 @@ def components(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc
     return out.select(nodes["doc"].alias(key), nodes["n"].alias("n_shingles"), F.when(F.col("some"), F.col("component_id")).otherwise(nodes["doc"]).alias("component_id"))
 
 
-def _sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in slices(batches):
-        packed = [packed_set(s) for s in shingle_sets(text_bytes(rows.column(1)), width)]
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(packed, pa.binary())], ["node", "tokens"])
-
-
 def keep_one(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without those that a chain of links ties to one with a smaller id; all columns stay.
 
