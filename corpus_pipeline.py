@@ -7,18 +7,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlode.llm import bpe
-from voxlode.llm.queries import given, tokenizer_path
+from voxlode.llm import bpe, decontam, ngram_join, suffix_dedup, toxicity
+from voxlode.llm.queries import given, tokenizer_path, toxicity_model
 from voxlode.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.reject(docs, toxicity_model(spark, sf_dir))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that chains of links tie together (five-word shingles, similarity 0.8) that with the smallest id stays."""
+    return ngram_join.keep_one(docs, percent=80, width=5)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes inside a 100-byte string that also starts earlier go; documents stay, even with nothing left."""
+    return suffix_dedup.shorten(docs)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten words in a row of a benchmark item go."""
+    return decontam.remove_leaks(docs, given(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): what is left as token ids, and decoded again."""
     return bpe.round_trip(docs, tokenizer_path())
 
 
-STAGES: list[tuple[str, Stage]] = [("encode", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("near_copies", without_near_copies),
+    ("suffix_dedup", without_repeats),
+    ("decontamination", without_leaks),
+    ("bpe", encoded),
+]
 
 #: Trained models, suffix merges and byte-pair merges are not expressible in SQL; tests/llm compares run() with brute force.
 ORACLE_SQL = None

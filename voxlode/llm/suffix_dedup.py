@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -477,9 +477,9 @@ def _sampled(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(made[::7], pa.binary())], ["suffix"])
 
 
-def place_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, text, base): base is where a row's text begins in its document; only rows that share an id need the window."""
-    rows = df.select(F.coalesce(F.col(key), F.lit(NO_ID)).cast("long").alias("doc"), F.col(text).alias("text"))
+def place_rows(df: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc, text, base, [carried columns as c0, c1, ...]): base is where a row's text begins in its document; only rows that share an id need the window."""
+    rows = df.select(F.coalesce(F.col(key), F.lit(NO_ID)).cast("long").alias("doc"), F.col(text).alias("text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
     if rows.groupBy("doc").count().filter("count > 1").isEmpty():
         return rows.withColumn("base", F.lit(0).cast("long"))
     order = Window.partitionBy("doc").orderBy("text").rowsBetween(Window.unboundedPreceding, -1)
@@ -510,7 +510,7 @@ def repeated_spans(rows: DataFrame, width: int = 100) -> DataFrame:
     return spans.unionByName(second.select("doc", "start", "end"))
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _kept(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         keys, texts, bases, spans = (rows.column(i) for i in range(4))
         kept, out = [], []
@@ -529,19 +529,42 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append([{"start": s, "end": e} for s, e in cut])
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         size = pa.array([len(t or b"") for t in texts.cast(pa.binary()).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([keys, size, pa.array(kept, pa.binary()), pa.array(out, kind)], ["doc", "n_bytes", "kept", "spans"])
+        yield pa.RecordBatch.from_arrays([keys, *rows.columns[4:], size, pa.array(kept, pa.binary()), pa.array(out, kind)], ["doc", *names, "n_bytes", "kept", "spans"])
 
 
-def remove_repeats(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_bytes, kept binary, spans array<struct<start,end>>): the bytes left of each text and its maximal removed runs."""
-    rows = place_rows(df, key, text)
-    per_doc = repeated_spans(rows, width).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = rows.join(per_doc, "doc", "left").select("doc", "text", "base", "spans")
-    out = joined.mapInArrow(_kept, "doc long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
-    return out.select(F.nullif("doc", F.lit(NO_ID)).alias(key), "n_bytes", "kept", "spans")
+def remove_repeats(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, [carry], n_bytes, kept binary, spans array<struct<start,end>>): the bytes left of each text and its maximal removed runs."""
+    names = [f"c{i}" for i in range(len(carry))]
+    carried = "".join(f", {n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, carry))
+    rows = place_rows(df, key, text, carry)
+    per_doc = repeated_spans(rows.select("doc", "text", "base"), width).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    joined = rows.join(per_doc, "doc", "left").select("doc", "text", "base", "spans", *names)
+    out = joined.mapInArrow(lambda it: _kept(names, it), f"doc long{carried}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    return out.select(F.nullif("doc", F.lit(NO_ID)).alias(key), *(F.col(n).alias(c) for n, c in zip(names, carry)), "n_bytes", "kept", "spans")
 
 
 def digest(removed: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256)."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return removed.select(key, "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def shorten(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """The documents with what is left of their texts, with all their columns; ``length`` is counted anew where it is there.
+
+    A character of which only some bytes are left goes too.  Null texts stay null.
+    """
+    names = df.columns
+    plain = df.toDF(*(f"x{i}" for i in range(len(names))))
+    k, t = f"x{names.index(key)}", f"x{names.index(text)}"
+    left = remove_repeats(plain, width, k, t, carry=[c for c in plain.columns if c != k])
+    new = F.when(F.size("spans") > 0, F.pandas_udf(whole_characters, "string")("kept")).otherwise(F.col(t))
+    left = left.withColumn(t, new)
+    if length in names:
+        n = f"x{names.index(length)}"
+        left = left.withColumn(n, F.when(F.size("spans") > 0, F.length(t).cast(plain.schema[n].dataType)).otherwise(F.col(n)))
+    return left.select(*(F.col(f"x{i}").alias(n) for i, n in enumerate(names)))
+
+
+def whole_characters(raw: pd.Series) -> pd.Series:
+    return raw.map(lambda b: None if b is None else b.decode(errors="ignore"))
