@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, divergence, idfile, ngram_join, sharding, suffix_dedup, toxicity, warc
+from . import bpe, decontam, divergence, idfile, lm, ngram_join, sharding, suffix_dedup, toxicity, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -92,6 +92,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find_leaks(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")))
 
 
+@query("op5_lm")
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by the model and by smoothed counts; a tenth is held out."""
+    return lm.score_texts(given(spark, sf_dir, "documents"), toxicity.fold("doc_id", 10) == 0)
+
+
 @query("op6_divergence")
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document, against references learned from all documents."""
