@@ -171,10 +171,12 @@ def learn_references(df: DataFrame, key: str = "doc_id", text: str = "text", lan
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     counted = rows.mapInArrow(_counts, "lang string, word binary, class int, n long").filter("lang IS NOT NULL")
     totals = counted.groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang", F.col("word").isNull()).orderBy(F.desc("n"), "word"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     sums = totals.filter("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= REFERENCE_WORDS)
     sums = sums.orderBy(F.desc("words"), "lang").limit(LANGUAGES)
-    kept = totals.select("*", place.alias("place")).filter((F.col("place") <= COMMON) | F.col("word").isNull()).join(sums, "lang")
+    # The rank filter stands alone, so that each task passes on the best words of a language only.
+    best = totals.filter("word IS NOT NULL").select("lang", "word", "class", "n", place.alias("place")).filter(F.col("place") <= COMMON).drop("place")
+    kept = best.unionByName(totals.filter("word IS NULL")).join(sums, "lang")
     refs = References({}, {}, {})
     for r in sorted(kept.collect(), key=lambda r: (r["lang"], -r["n"], r["word"] or b"")):
         if r["word"] is None:
