@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .divergence import PLAIN
 from .flat import flatten, mix, range_hashes, slices, text_bytes, words
 
@@ -147,75 +148,99 @@ def insult_model() -> Model:
     return Model(h, np.full(len(h), 6.0), -3.0)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> Model:
-    """Model from labelled texts; ``weight`` makes up for the share of each class that was taken."""
-    if labels.min(initial=1) == labels.max(initial=0):
-        return insult_model()
-    of, feature = text_features(texts)
-    names, code = np.unique(feature, return_inverse=True)
-    toxic = labels[of] == 1
-    pos = np.bincount(code, toxic, minlength=len(names))
-    neg = np.bincount(code, ~toxic, minlength=len(names))
-    n1, n0 = (labels == 1).sum(), (labels == 0).sum()
-    odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
-    # Log-likelihood ratio against chance: far too many features are looked at to take the odds as they are.
-    share, n = n1 / (n1 + n0), pos + neg
-    gain = 2 * (pos * np.log(np.maximum(pos, 1e-9) / (n * share)) + neg * np.log(np.maximum(neg, 1e-9) / (n * (1 - share)))) * (odds > 1)
-    best = np.argsort(-gain, kind="stable")[:FEATURES]
-    best = np.sort(best[gain[best] > CHANCE])
-    kept = names[best]
-    place = np.full(len(names), -1)
-    place[best] = np.arange(len(best))
-    inside = place[code] >= 0
-    x = np.zeros((len(texts), len(best)), np.float32)
-    x[of[inside], place[code[inside]]] = 1
-    if not len(best):
-        return insult_model()
-    telling = np.argsort(-gain[best], kind="stable")[:VOTERS]
-    insults = np.zeros((len(texts), len(INSULTS)), np.float32)
-    for j, w in enumerate(INSULTS):
-        at = np.searchsorted(names, np.uint64(word_feature(w.encode())))
-        if at < len(names) and names[at] == word_feature(w.encode()):
-            insults[of[code == at], j] = 1
-    shapes = np.array([[bool(p.search(t)) for p in PATTERNS] for t in texts], np.float32)
-    votes = np.column_stack((x[:, telling], insults, shapes))
-    votes = votes[:, votes.any(0)]
-    soft = label_model(votes, labels, weight)
-    w, b = logistic(x, soft, weight / weight.mean())
-    return Model(kept, w.astype(float), b)
-
-
-# ---- on tables ----------------------------------------------------------------------------------------------------
+# ---- fit ----------------------------------------------------------------------------------------------------------
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, key: str, text: str, label: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(texts, labels, weights) of the bounded sample."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, key: str, text: str, label: str) -> tuple[DataFrame, dict[int, int]]:
+    """((label, text) rows of the bounded sample as a written table, number of labels of each class)."""
+    spark = docs.sparkSession
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).filter(train).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     totals = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
-    texts, got = [], []
+    chosen = []
     for k in (0, 1):
         ids = marked.filter(F.col("label") == k).orderBy(F.xxhash64(key), key).limit(SAMPLE).select(F.col(key).alias("id"))
         sized = docs.join(F.broadcast(ids), docs[key] == ids["id"]).select("id", F.coalesce(F.octet_length(text), F.lit(0)).alias("size"))
-        room, chosen = SAMPLE_BYTES, []
+        room = SAMPLE_BYTES
         for r in sized.orderBy(F.xxhash64("id"), "id", "size").limit(SAMPLE).collect():
             if r["size"] <= room:
                 room -= r["size"]
-                chosen.append((r["id"],))
-        if not chosen:
-            continue
-        few = docs.sparkSession.createDataFrame(chosen, f"id {docs.schema[key].dataType.simpleString()}").distinct()
-        rows = docs.join(F.broadcast(few), docs[key] == few["id"]).select("id", F.col(text).alias("text")).limit(SAMPLE).collect()
-        rows.sort(key=lambda r: (r["id"], r["text"] or ""))
-        texts += [(r["text"] or "").encode() for r in rows]
-        got += [k] * len(rows)
-    y = np.array(got, np.int64)
-    each = np.array([totals.get(k, 0) / max((y == k).sum(), 1) for k in (0, 1)])
-    return texts, y, each[y] if len(y) else np.zeros(0)
+                chosen.append((r["id"], k))
+    few = spark.createDataFrame(sorted(set(chosen)), f"id {docs.schema[key].dataType.simpleString()}, label int")
+    folder = scratch_path(spark, "toxicity-sample")
+    docs.join(F.broadcast(few), docs[key] == few["id"]).select("label", F.col(text).alias("text")).write.parquet(folder)
+    return spark.read.schema("label int, text string").parquet(folder), totals
+
+
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in slices(batches, 2 << 20):
+        label = np.asarray(rows.column(0))
+        of, feature = text_features(text_bytes(rows.column(1)))
+        names, code = np.unique(feature, return_inverse=True)
+        pos = np.bincount(code, label[of] == 1, minlength=len(names)).astype(np.int64)
+        n = np.bincount(code, minlength=len(names)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["feature", "pos", "neg"])
+
+
+def telling_features(sample: DataFrame, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, gain) of features that toxic texts have more often than chance explains.
+
+    The gain is the log-likelihood ratio against chance: far too many features are looked at to take the odds as they are.
+    """
+    counts = sample.mapInArrow(_feature_counts, "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    n, share = F.col("pos") + F.col("neg"), n1 / (n1 + n0)
+    part = lambda c, s: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * s))).otherwise(0.0)
+    odds = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
+    best = counts.filter((F.col("pos") > 0) & (odds > 1)).select("feature", F.round(2 * (part("pos", share) + part("neg", 1 - share)), 9).alias("gain"))
+    rows = best.filter(F.col("gain") > CHANCE).orderBy(F.desc("gain"), "feature").limit(FEATURES).collect()
+    names = np.array([r.feature for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(names)
+    return names[order], np.array([r.gain for r in rows])[order]
+
+
+def _signs(known: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, known features, insults, patterns) of every text, as indexes."""
+    insults = np.array(sorted(word_feature(w.encode()) for w in INSULTS), np.uint64)
+    for rows in slices(batches, 2 << 20):
+        texts = text_bytes(rows.column(1))
+        lists = []
+        for names in (known, insults):
+            of, at = text_features(texts, names)
+            edge = np.searchsorted(of, np.arange(len(texts) + 1))
+            lists.append(pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(at.astype(np.int32))))
+        shapes = pa.array([[j for j, p in enumerate(PATTERNS) if p.search(t)] for t in texts], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([rows.column(0), *lists, shapes], ["label", "features", "insults", "shapes"])
+
+
+def _table(lists, width: int) -> np.ndarray:
+    x = np.zeros((len(lists), width), np.float32)
+    for i, at in enumerate(lists):
+        x[i, at] = 1
+    return x
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    texts, y, weight = labelled_sample(docs, labels, train, key, text, label)
-    return fit(texts, y, weight) if len(texts) else insult_model()
+    """The driver gets the signs of the sample's texts, never the texts."""
+    sample, totals = labelled_sample(docs, labels, train, key, text, label)
+    taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    if not taken.get(0) or not taken.get(1):
+        return insult_model()
+    known, gain = telling_features(sample, taken[1], taken[0])
+    if not len(known):
+        return insult_model()
+    signs = sample.mapInArrow(lambda it: _signs(known, it), "label int, features array<int>, insults array<int>, shapes array<int>").collect()
+    signs.sort(key=lambda r: (r.label, r.features, r.insults, r.shapes))
+    y = np.array([r.label for r in signs])
+    weight = np.array([totals[k] / taken[k] for k in (0, 1)])[y]
+    x = _table([r.features for r in signs], len(known))
+    telling = np.argsort(-gain, kind="stable")[:VOTERS]
+    votes = np.column_stack((x[:, telling], _table([r.insults for r in signs], len(INSULTS)), _table([r.shapes for r in signs], len(PATTERNS))))
+    votes = votes[:, votes.any(0)]
+    soft = label_model(votes, y, weight)
+    w, b = logistic(x, soft, weight / weight.mean())
+    return Model(known, w.astype(float), b)
+
+
+# ---- on tables ----------------------------------------------------------------------------------------------------
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
