@@ -31,6 +31,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
 #: Texts that match are not cut at spaces.
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 MEMORY = 400_000
+#: Text bytes in a lot: the more, the more pieces are equal.
+LOT_BYTES = 8 << 20
 
 
 def byte_letters() -> list[str]:
@@ -145,7 +147,7 @@ def encode_column(texts: pa.Array, path: str) -> tuple[list[list[int]], np.ndarr
 
 
 def _encoded(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in slices(batches):
+    for rows in slices(batches, LOT_BYTES):
         per_piece, code, offset = encode_column(rows.column(1), path)
         size = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
         flat = np.fromiter((i for ids in per_piece for i in ids), np.int32, int(size.sum()))
@@ -184,7 +186,7 @@ def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> D
 
 def _digests(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs = codec(path)
-    for rows in slices(batches):
+    for rows in slices(batches, LOT_BYTES):
         per_piece, code, offset = encode_column(rows.column(1), path)
         size = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
         counted = np.concatenate(([0], np.cumsum(size[code])))[offset]

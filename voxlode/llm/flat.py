@@ -37,7 +37,7 @@ def flatten(texts: list[bytes]) -> Flat:
     return Flat(np.frombuffer(b"\n".join([*texts, b""]), np.uint8), end - size, end)
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``most`` text bytes; column 1 is the text."""
     for batch in batches:
         if not batch.num_rows:
@@ -88,7 +88,8 @@ def _powers(name: str, base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        _POWERS[name] = have
+        if n <= 4 << 20:  # those of a very long text aren't kept
+            _POWERS[name] = have
     return have[:n]
 
 

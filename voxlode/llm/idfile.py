@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, UNSAFE, cut_pieces, expand
+from .bpe import LOT_BYTES, PATTERN, UNSAFE, cut_pieces, expand
 from .flat import slices
 
 HEAD = struct.Struct("<4sIQIQ")
@@ -147,7 +147,7 @@ def _quoted(s: str) -> str:
 def _shards(path: str, end_id: int, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _, unsafe = _library(path)
     part = TaskContext.get().partitionId()
-    for seq, rows in enumerate(slices(batches)):
+    for seq, rows in enumerate(slices(batches, LOT_BYTES)):
         pieces, code, offset, whole = cut_pieces(rows.column(1), unsafe)
         per_piece = _known(path).ids(pieces.to_pylist(), whole)
         per_piece.append(array("I", [end_id]).tobytes())
