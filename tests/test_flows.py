@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxlode.operators import enrich as N
 from voxlode.operators import serving as V
+from voxlode.plans import bindings as B
 from voxlode.sources import containers as K
 from voxlode.sources import feeds, pages, reports, sinks
 from voxlode.streaming import increments as L
@@ -167,7 +168,7 @@ def test_failed_batches_give_null_replies(spark, tmp_path):
 
 
 def test_fallback_clients():
-    ask = N.with_fallback([N.LineClient("a:", fail="x"), N.LineClient("b:")])
+    ask = N.with_fallback([B.LineClient("a:", fail="x"), B.LineClient("b:")])
     assert [r[0] for r in ask(["x1", "y1"])] == ["b:x1", "a:y1"]
 
 
@@ -184,7 +185,7 @@ def test_overlapping_batches_bounds(spark):
 def test_translate_missing(spark):
     c = spark.createDataFrame([(1, "hello there", True), (2, "der old", True), (3, "bad", False), (4, "done", True)], "id long, content string, ok boolean")
     done = spark.createDataFrame([(4, "é done")], "id long, content_zh string")
-    out, counts = N.translate_missing(c, done, F.col("ok"), F.lit(True), lambda: N.LineClient("é ", fail="der"), 2, "À-ÿ")
+    out, counts = N.translate_missing(c, done, F.col("ok"), F.lit(True), lambda: B.LineClient("é ", fail="der"), 2, "À-ÿ")
     assert {r.id: (r.content_out, r.has_translation) for r in out.collect()} == {1: ("é hello there", True), 2: ("der old", False), 4: ("é done", True)}
     r = counts.first()
     assert (r.asked, r.translated, r.failed) == (2, 1, 1)
@@ -219,6 +220,11 @@ def _shape(df):
     return sorted((r.id, r.mention_count, r.is_new, r.last_updated_at, r.priority) for r in df.collect())
 
 
+def test_merge_increment_stays_in_its_category(spark):
+    new = spark.createDataFrame([(1, "other", [1.0, 0.0], 3, "n1")], "ord long, category string, vec array<double>, size long, title string")
+    assert ("m1", 5, False, None, "P0") in _shape(L.merge_increment(_main(spark), new, "vec", "2026-04-24"))
+
+
 def test_merge_increment(spark):
     # New rows are not compared with each other: the two equal ones both stay.
     assert _shape(L.merge_increment(_main(spark), _new(spark), "vec", "2026-04-24")) == WANT

@@ -289,6 +289,24 @@ def test_first_leaders_equal_the_loop(spark):
     assert {r.node: r.leader for r in first_leaders(nodes, e).collect()} == leader
 
 
+def test_first_leaders_on_a_long_chain(spark):
+    n = 10_000
+    nodes = spark.range(n).select(F.col("id").alias("node"), F.col("id").alias("rank"))
+    e = spark.range(1, n).select(F.col("id").alias("later"), (F.col("id") - 1).alias("earlier"))
+    for block in (20_000, 3_000):
+        got = first_leaders(nodes, e, block)
+        assert got.filter("leader <> node - node % 2").count() == 0 and got.count() == n
+
+
+def test_zero_vectors_and_scopes(spark):
+    rows = [(1, "a", [0.0, 0.0]), (2, "a", [0.0, 0.0]), (3, "a", [1.0, 0.0]), (4, "a", [2.0, 0.0]), (5, "b", [1.0, 0.0]), (6, "b", [1.0, 0.1]), (7, None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, c string, v array<double>")
+    assert {(r.i, r.j) for r in S.similar_pairs(df, "id", "v", 0.9, by="c").collect()} == {(3, 4), (5, 6)}
+    assert {(r.id, r.cluster) for r in C.average_linkage(df, "id", "v", 0.4, by="c").collect()} == {(1, 1), (2, 2), (3, 3), (4, 3), (5, 5), (6, 5), (7, 7)}
+    got = S.nearest_match(df.select(F.col("id").alias("n"), "c", "v"), df.filter("id in (1, 3, 5)").select(F.col("id").alias("m"), "c", "v"), "n", "m", "v", 0.9, by="c")
+    assert {(r.n, r.m) for r in got.collect()} == {(3, 3), (4, 3), (5, 5), (6, 5)}
+
+
 def linkage_loop(u, t):
     groups, d = [[i] for i in range(len(u))], 1 - u @ u.T
     while len(groups) > 1:

@@ -8,7 +8,6 @@ Replies are stored before anything else reads them, so a retried or recomputed s
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -120,10 +119,12 @@ def infer_batches(
     batch: int = 64,
     tries: int = 3,
     pause: float = 2.0,
+    slice_rows: int = 2000,
 ) -> DataFrame:
-    """Ask the client for every row; ``workers`` partitions bound the concurrent calls.
+    """Ask the client for every row, in waves of ``workers`` tasks with about ``slice_rows`` rows each.
 
-    Replies are written to ``path`` (a new scratch table by default) in one job and read back:
+    ``workers`` bounds the concurrent calls.  Each wave is written to ``path`` (a new scratch table by default) when it is done, so a
+    lost executor costs one slice and a lost run one wave, however many rows there are.  Read back:
     (row_id, reply, prompt_tokens, completion_tokens).
     """
     idt = prompts.schema[row_id].dataType
@@ -153,8 +154,11 @@ def infer_batches(
 
     spark = prompts.sparkSession
     target = path or scratch_path(spark, "replies")
-    asked = prompts.select(row_id, prompt).repartition(workers, row_id).mapInPandas(run, schema)
-    asked.write.mode("append").parquet(target)
+    rows = prompts.select(row_id, prompt)
+    waves = max(1, -(-rows.count() // (workers * slice_rows)))
+    for wave in range(waves):
+        part = rows.filter(F.pmod(F.xxhash64(row_id, F.lit("wave")), F.lit(waves)) == wave) if waves > 1 else rows
+        part.repartition(workers, row_id).mapInPandas(run, schema).write.mode("append").parquet(target)
     return spark.read.schema(schema).parquet(target)
 
 
@@ -177,35 +181,6 @@ def resume_infer(
     )
 
 
-class RuleClient:
-    """Deterministic stand-in for a model: the need is the first line of the text after the last mark."""
-
-    def __init__(self, mark: str = "TEXT:", max_atoms: int = 3):
-        self.mark, self.max_atoms = mark, max_atoms
-
-    def __call__(self, prompts: list[str]) -> list[Reply]:
-        out: list[Reply] = []
-        for p in prompts:
-            body = p.rsplit(self.mark, 1)[-1].strip()
-            lines = [s for s in body.split("\n") if s.strip()][: self.max_atoms]
-            reply = json.dumps({"atoms": [{"need_statement": s} for s in lines]}, ensure_ascii=False)
-            out.append((reply, len(p) // 4, len(reply) // 4))
-        return out
-
-
-class LineClient:
-    """Deterministic stand-in for a text service: the first line of the prompt body, marked."""
-
-    def __init__(self, prefix: str = "", fail: str = ""):
-        self.prefix, self.fail = prefix, fail
-
-    def __call__(self, prompts: list[str]) -> list[Reply]:
-        return [
-            (None, len(p) // 4, 0) if self.fail and self.fail in p else (self.prefix + p.split("\n")[0], len(p) // 4, 1)
-            for p in prompts
-        ]
-
-
 # ---------------------------------------------------------------- replies
 
 ATOM_REPLY = "struct<atoms:array<string>>"
@@ -272,33 +247,59 @@ def apply_merge_decisions(groups: DataFrame, decisions: DataFrame, group: str, i
     """Output of merge decisions over candidate groups.
 
     ``groups``: (group, item, local) with 0-based local positions, singles not included; ``decisions``: (group,
-    should_merge, merge_groups array<struct<merged_title, cluster_indices>>, exclude_indices array<int>).
+    should_merge, merge_groups array<struct<merged_title, cluster_indices, ...>>, exclude_indices array<int>).
 
-    Yields (out_id, kind, item, merged_title): each merge group is one output with several items; excluded ones,
-    items of groups not to merge, undecided groups and items no group names each stay alone.  Positions out of
-    range are ignored.  As published, an item named by two merge groups appears in both; ``times`` tells.
+    Yields (out_id, kind, item, merged_title, ord, overrides, times): each merge group is one output with several items, in the order
+    ``ord`` of its indices; excluded ones, items of groups not to merge, undecided groups and items no group names each stay
+    alone.  Positions out of range are ignored.  As published, an item named by two merge groups appears in
+    both; ``times`` tells.  ``overrides`` is the merge group's entry.  Every item is classified in one pass.
     """
-    d = decisions.filter("should_merge").select(group, F.posexplode("merge_groups").alias("_g", "_m"))
-    named = d.select(group, "_g", F.col("_m.merged_title").alias("merged_title"), F.explode("_m.cluster_indices").alias(local)).distinct()
-    merged = named.join(groups, [group, local]).select(
-        F.concat_ws("/", F.col(group).cast("string"), F.col("_g").cast("string")).alias("out_id"),
-        F.lit("merged").alias("kind"), item, "merged_title",
+    entries = decisions.filter("should_merge").select(group, F.posexplode("merge_groups").alias("_g", "_m"))
+    named = (
+        entries.select(group, "_g", "_m", F.posexplode("_m.cluster_indices").alias("_p", local))
+        .groupBy(group, local, "_g").agg(F.min("_p").alias("ord"), F.first("_m").alias("overrides"))
+        .groupBy(group, local).agg(F.array_sort(F.collect_list(F.struct("_g", "ord", "overrides"))).alias("_in"))
     )
-    alone = groups.join(merged.select(item).distinct(), item, "left_anti")
     yes = decisions.select(group, "should_merge", F.coalesce("exclude_indices", F.array().cast("array<int>")).alias("_x"))
-    kinds = alone.join(yes, group, "left").select(
-        F.col(item).cast("string").alias("out_id"),
+    rows = groups.join(yes, group, "left").join(named, [group, local], "left")
+    rows = rows.withColumn("times", F.greatest(F.coalesce(F.size("_in"), F.lit(0)), F.lit(1)).cast("bigint")).select("*", F.explode_outer("_in").alias("_one"))
+    alone = (
         F.when(F.col("should_merge").isNull(), "undecided")
         .when(~F.col("should_merge"), "kept")
         .when(F.array_contains("_x", F.col(local)), "excluded")
         .otherwise("unnamed")
-        .alias("kind"),
+    )
+    merged = F.col("_one").isNotNull()
+    return rows.select(
         item,
-        F.lit(None).cast("string").alias("merged_title"),
+        F.when(merged, F.concat_ws("/", F.col(group).cast("string"), F.col("_one._g").cast("string"))).otherwise(F.col(item).cast("string")).alias("out_id"),
+        F.when(merged, "merged").otherwise(alone).alias("kind"),
+        F.col("_one.overrides.merged_title").alias("merged_title"),
+        F.col("_one.ord").alias("ord"),
+        F.col("_one.overrides").alias("overrides"),
+        "times",
+    )
+
+
+def merged_fields(decided: DataFrame, items: DataFrame, item: str, fields: Sequence[str], means: Sequence[str] = ()) -> DataFrame:
+    """One row per output of :func:`apply_merge_decisions`: (out_id, kind, members, fields, means).
+
+    A field is the merge group's ``merged_<field>`` if it is given, else the first member's; one of ``means`` falls back to the rounded
+    mean of all members.  ``items`` has the fields of every item.
+    """
+    given = set(decided.schema["overrides"].dataType.fieldNames())
+    rows = decided.join(items.select(item, *fields, *means), item)
+    first = F.struct(F.coalesce("ord", F.lit(0)).alias("o"), F.col(item).alias("i"))
+
+    def value(name: str, fallback: Column) -> Column:
+        own = f"merged_{name}"
+        return (F.coalesce(F.max(f"overrides.{own}"), fallback) if own in given else fallback).alias(name)
+
+    return rows.groupBy("out_id", "kind").agg(
+        F.count(F.lit(1)).alias("members"),
+        *[value(f, F.min_by(f, first)) for f in fields],
+        *[value(f, F.bround(F.avg(f)).cast(items.schema[f].dataType)) for f in means],
     )
-    out = merged.unionByName(kinds)
-    times = out.groupBy(item).agg(F.count(F.lit(1)).alias("times"))
-    return out.join(times, item)
 
 
 def overlapping_batches(rows: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

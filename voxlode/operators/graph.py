@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 
-MAX_ROUNDS = 100
-
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
@@ -28,7 +27,7 @@ def connected_components(edges: DataFrame, src: str = "i", dst: str = "j") -> Da
     before = _state(e)
     if before[0] == 0:
         return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -43,40 +42,66 @@ def connected_components(edges: DataFrame, src: str = "i", dst: str = "j") -> Da
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def first_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Greedy leaders in rank order, found in parallel rounds.
+LEADER_BLOCK = 20_000
+
+
+def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Decide what a block of ranks can decide by itself: (node, leads) of nodes all of whose earlier neighbours are known.
+
+    Rows without ``earlier`` are the block's nodes; the others are edges to undecided or leading nodes.
+    """
+    nodes = pdf[pdf.earlier.isna()].sort_values("rank").node.tolist()
+    edges: dict = {}
+    for later, earlier, leads in zip(pdf.node, pdf.earlier, pdf.leads):
+        if not pd.isna(earlier):
+            edges.setdefault(later, []).append((earlier, bool(leads)))
+    state: dict = {}
+    for v in nodes:
+        seen = [True if leads else state.get(e) for e, leads in edges.get(v, ())]
+        if any(x is True for x in seen):
+            state[v] = False
+        elif all(x is False for x in seen):
+            state[v] = True
+    return pd.DataFrame({"node": pd.Series(list(state), dtype=object), "leads": pd.Series(list(state.values()), dtype=bool)})
+
+
+def first_leaders(nodes: DataFrame, edges: DataFrame, block: int = LEADER_BLOCK) -> DataFrame:
+    """Greedy leaders in rank order.
 
     ``nodes``: node, rank (unique).  ``edges``: later, earlier (an edge says the later node would be absorbed by
     the earlier one if that one is a leader).  A node whose earlier neighbours are all absorbed
     leads; a node with a leading earlier neighbour is absorbed.  The outcome equals the loop
     that takes nodes one by one.  Yields (node, leader) with leader = node for leaders; absorbed nodes
     get their earliest leader.
+
+    Nodes are cut into blocks of ``block`` ranks.  In each round every block follows chains of any length inside it, and the first
+    block with open nodes closes for good, so rounds never exceed the number of blocks; there is no limit on them.
     """
-    open_ = cut(nodes.select("node"))
-    live = cut(edges.select("later", "earlier"))
-    leaders = None
-    for _ in range(MAX_ROUNDS):
-        blocked = live.select(F.col("later").alias("node")).distinct()
-        new = cut(open_.join(blocked, "node", "left_anti"))
-        leaders = new if leaders is None else leaders.unionByName(new)
-        hit = live.join(new.select(F.col("node").alias("earlier")), "earlier", "left_semi").select(F.col("later").alias("node")).distinct()
-        gone = cut(new.unionByName(hit))
-        open_ = cut(open_.join(gone, "node", "left_anti"))
-        if open_.isEmpty():
-            break
-        # Decided nodes stop counting on both sides of an edge.
+    kind = nodes.schema["node"].dataType.simpleString()
+    # Text keys keep every kind of id exact in pandas.
+    ranks = nodes.select(F.col("node").cast("string").alias("node"), F.col("rank").cast("long").alias("rank"), F.floor(F.col("rank") / block).cast("long").alias("block"))
+    open_ = cut(ranks)
+    live = cut(edges.select(F.col("later").cast("string").alias("node"), F.col("earlier").cast("string").alias("earlier"), F.lit(False).alias("leads")))
+    decided = None
+    while not open_.isEmpty():
+        rows = open_.select("block", "rank", "node", F.lit(None).cast("string").alias("earlier"), F.lit(False).alias("leads")).unionByName(
+            live.join(open_, "node").select("block", "rank", "node", "earlier", "leads")
+        )
+        new = cut(rows.groupBy("block").applyInPandas(_decide, "node string, leads boolean"))
+        decided = new if decided is None else decided.unionByName(new)
+        open_ = cut(open_.join(new, "node", "left_anti"))
+        known = new.select(F.col("node").alias("earlier"), F.col("leads").alias("_leads"))
         live = cut(
-            live.join(gone.select(F.col("node").alias("later")), "later", "left_anti")
-            .join(gone.select(F.col("node").alias("earlier")), "earlier", "left_anti")
+            live.join(new.select("node"), "node", "left_anti").join(known, "earlier", "left")
+            .filter(F.coalesce("_leads", F.lit(True))).select("node", "earlier", F.coalesce("_leads", "leads").alias("leads"))
         )
-    else:
-        raise RuntimeError("greedy rounds did not settle")
+    if decided is None:
+        return nodes.select("node", F.col("node").alias("leader"))
+    leaders = decided.filter("leads").select(F.col("node").cast(kind).alias("node"))
     lead = leaders.select(F.col("node").alias("earlier")).join(nodes.select(F.col("node").alias("earlier"), "rank"), "earlier")
     absorbed = (
         edges.join(leaders.select(F.col("node").alias("later")), "later", "left_anti")

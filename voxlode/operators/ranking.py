@@ -263,7 +263,11 @@ def time_stratified_sample(
     few = top_k(per_app, ["topic", "segment"], ["arrival"], k, "_s").drop("_s")
     schema = few.schema
     first = cut(few.groupBy("topic").applyInPandas(_spread_first, schema))
-    took = first.groupBy("topic").agg(F.count(F.lit(1)).alias("took"), F.collect_set("app").alias("used"))
+    found = first.groupBy("topic").agg(F.count(F.lit(1)).alias("_took"), F.collect_set("app").alias("_used"))
+    # A topic may have rows after the last whole segment only: it starts the second pass with nothing.
+    took = base.select("topic").distinct().join(found, "topic", "left").select(
+        "topic", F.coalesce("_took", F.lit(0)).alias("took"), F.coalesce("_used", F.array().cast("array<string>")).alias("used")
+    )
     short = base.join(took.filter(F.col("took") < k), "topic").join(first.select("topic", "row_id"), ["topic", "row_id"], "left_anti")
     numbered = number_rows(short.drop("used"), ["topic"], [F.col("ts"), F.col("arrival"), F.col("row_id")], "_n")
     sizes = numbered.groupBy("topic").agg(F.count(F.lit(1)).alias("_rest"))

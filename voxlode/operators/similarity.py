@@ -45,16 +45,26 @@ def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def scope(by: str | None) -> Column:
+    """The part of the rows that a row is compared with; all rows by default."""
+    return (F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")).alias("_by")
+
+
+def directed(vec: str) -> Column:
+    """Whether a vector has a direction: a zero vector is similar to nothing, not even to a copy."""
+    return F.exists(vec, lambda x: x != 0)
+
+
 def collapse_copies(rows: DataFrame, row_id: str, vec: str) -> tuple[DataFrame, DataFrame]:
-    """(distinct vectors with their lowest id and number of copies, map of copy -> lowest id)."""
-    reps = rows.groupBy(vec).agg(F.min(row_id).alias(row_id), F.count(F.lit(1)).alias("copies"))
+    """(distinct vectors of each scope with their lowest id and number of copies, map of copy -> lowest id)."""
+    reps = rows.groupBy("_by", vec).agg(F.min(row_id).alias(row_id), F.count(F.lit(1)).alias("copies"))
     copies = (
-        rows.select(F.col(row_id).alias("copy"), F.col(vec).alias("_v"))
-        .join(reps.filter("copies > 1"), F.col("_v") == F.col(vec))
+        rows.select(F.col("_by").alias("_b"), F.col(row_id).alias("copy"), F.col(vec).alias("_v"))
+        .join(reps.filter("copies > 1"), (F.col("_v") == F.col(vec)) & (F.col("_b") == F.col("_by")))
         .select("copy", F.col(row_id).alias("rep"))
         .filter("copy <> rep")
     )
-    return reps.select(row_id, vec, "copies"), copies
+    return reps.select(row_id, vec, "copies", "_by"), copies
 
 
 def _pivots(rows: DataFrame, row_id: str, vec: str) -> np.ndarray:
@@ -115,7 +125,7 @@ def _visits(
     if len(pivots) == 1:
         # A single cell needs no angles.  Its number is computed, so that the join on it keeps a key.
         cell = F.pmod(F.xxhash64(row_id), F.lit(1)).cast("int")
-        return rows.select(row_id, vec, cell.alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
+        return rows.select(row_id, vec, "_by", cell.alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
     reach = np.array([radius.get(i, -np.inf) for i in range(len(pivots))]) + theta + _EPS
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,6 +149,7 @@ def _visits(
                 {
                     row_id: pdf[row_id].to_numpy()[i],
                     vec: pdf[vec].to_numpy()[i],
+                    "_by": pdf["_by"].to_numpy()[i],
                     "cell": np.concatenate([p[1] for p in parts]).astype(np.int32),
                     "side": np.concatenate([p[2] for p in parts]),
                 }
@@ -148,11 +159,12 @@ def _visits(
         [
             T.StructField(row_id, _id_type(rows, row_id)),
             T.StructField(vec, T.ArrayType(T.DoubleType())),
+            T.StructField("_by", T.StringType()),
             T.StructField("cell", T.IntegerType()),
             T.StructField("side", T.IntegerType()),
         ]
     )
-    return rows.select(row_id, vec).mapInPandas(assign, schema)
+    return rows.select(row_id, vec, "_by").mapInPandas(assign, schema)
 
 
 def _tasks(visits: DataFrame, row_id: str, within: bool) -> DataFrame:
@@ -161,12 +173,11 @@ def _tasks(visits: DataFrame, row_id: str, within: bool) -> DataFrame:
     Blocks of residents are numbered 0..h-1, blocks of visitors h..h+v-1.  ``within`` also pairs
     residents with each other.
     """
-    sizes = visits.groupBy("cell").agg(
+    sizes = visits.groupBy("_by", "cell").agg(
         F.ceil(F.count_if(F.col("side") == 0) / BLOCK).cast("int").alias("h"),
         F.ceil(F.count_if(F.col("side") == 1) / BLOCK).cast("int").alias("v"),
     )
-    # One row per pivot: at most MAX_PIVOTS rows.
-    j = visits.join(F.broadcast(sizes), "cell").filter("h > 0")
+    j = visits.join(sizes, ["_by", "cell"]).filter("h > 0")
     n = F.when(F.col("side") == 0, F.col("h")).otherwise(F.greatest("v", F.lit(1)))
     blk = F.pmod(F.xxhash64(row_id), n.cast("bigint")).cast("int")
     none = F.array().cast("array<struct<a:int,b:int,s:int>>")
@@ -197,7 +208,7 @@ def _compare(tasks: DataFrame, row_id: str, vec: str, found: Callable, schema: T
         m1 = m0 if same else np.stack(right[vec].to_numpy())
         return found(left[row_id].to_numpy(), m0, right[row_id].to_numpy(), m1, same)
 
-    return tasks.groupBy("cell", "a", "b").applyInPandas(one, schema)
+    return tasks.groupBy("_by", "cell", "a", "b").applyInPandas(one, schema)
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -246,35 +257,39 @@ def _pair_join(reps: DataFrame, row_id: str, vec: str, t: float, strict: bool, f
     return _compare(_tasks(visits, row_id, True), row_id, vec, found, schema, True)
 
 
-def similar_pairs(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False) -> DataFrame:
-    """Unordered pairs (i < j, sim) with cosine >= ``t``.
+def similar_pairs(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False, by: str | None = None) -> DataFrame:
+    """Unordered pairs (i < j, sim) with cosine >= ``t``, of rows with equal ``by`` if it is given.
+
+    A zero vector is in no pair.
 
     Equal vectors are compared once: each copy is paired with the lowest id of its vector
     (similarity 1), and that id stands for the copies in all other pairs.  Every pair of the plain
     list follows from these, while a vector with a million copies costs a million rows, not their square.
     """
-    units = rows.select(row_id, unit(vec).alias("_u"))
+    units = rows.select(row_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u"))
     reps, copies = collapse_copies(units, row_id, "_u")
     pairs = _pair_join(reps, row_id, "_u", t, strict, forest=False)
     return pairs.unionByName(copies.select(F.col("rep").alias("i"), F.col("copy").alias("j"), F.lit(1.0).alias("sim")))
 
 
-def similar_edges(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False) -> DataFrame:
+def similar_edges(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False, by: str | None = None) -> DataFrame:
     """Edges with the same connected components as :func:`similar_pairs`, but only a forest per task."""
-    units = rows.select(row_id, unit(vec).alias("_u"))
+    units = rows.select(row_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u"))
     reps, copies = collapse_copies(units, row_id, "_u")
     edges = _pair_join(reps, row_id, "_u", t, strict, forest=True)
     return edges.unionByName(copies.select(F.col("rep").alias("i"), F.col("copy").alias("j"), F.lit(1.0).alias("sim")))
 
 
 def nearest_match(
-    new: DataFrame, main: DataFrame, new_id: str, main_id: str, vec: str, t: float
+    new: DataFrame, main: DataFrame, new_id: str, main_id: str, vec: str, t: float, by: str | None = None
 ) -> DataFrame:
     """For each new row its most similar main row, if the cosine is at least ``t``: (new_id, main_id, sim).
 
+    With ``by`` only main rows with the same value count.  Zero vectors have no match.
+
     Ties go to the lowest main id.  Both id columns must have different names.
     """
-    reps = main.select(main_id, unit(vec).alias("_u")).groupBy("_u").agg(F.min(main_id).alias(main_id))
+    reps = main.select(main_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u")).groupBy("_by", "_u").agg(F.min(main_id).alias(main_id))
     out = T.StructType(
         [
             T.StructField(new_id, _id_type(new, new_id)),
@@ -288,7 +303,8 @@ def nearest_match(
     theta = math.acos(max(-1.0, min(1.0, t)))
     radius = _home_cells(reps, main_id, "_u", pivots)
     # Equal new vectors ask once.
-    asks = new.select(new_id, unit(vec).alias("_u")).groupBy("_u").agg(F.min(new_id).alias(new_id))
+    asked = new.select(new_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u"))
+    asks = asked.groupBy("_by", "_u").agg(F.min(new_id).alias(new_id))
     homes = _visits(reps, main_id, "_u", pivots, radius, theta, "home").withColumnRenamed(main_id, "_id")
     probes = _visits(asks, new_id, "_u", pivots, radius, theta, "probe").withColumnRenamed(new_id, "_nid")
     # A filler instead of null keeps long ids exact in pandas.
@@ -310,13 +326,13 @@ def nearest_match(
             {new_id: right["_nid"].to_numpy()[ok], main_id: left["_id"].to_numpy()[best][ok], "sim": s[ok]}
         )
 
-    found = tasks.groupBy("cell", "a", "b").applyInPandas(one, out)
+    found = tasks.groupBy("_by", "cell", "a", "b").applyInPandas(one, out)
     best = found.groupBy(new_id).agg(F.min(F.struct((-F.col("sim")).alias("s"), F.col(main_id).alias("m"))).alias("_b"))
-    per_vec = asks.join(best, new_id).select("_u", F.col("_b.m").alias(main_id), (-F.col("_b.s")).alias("sim"))
-    return new.select(new_id, unit(vec).alias("_u")).join(per_vec, "_u").drop("_u")
+    per_vec = asks.join(best, new_id).select("_by", "_u", F.col("_b.m").alias(main_id), (-F.col("_b.s")).alias("sim"))
+    return asked.join(per_vec, ["_by", "_u"]).drop("_by", "_u")
 
 
-def nearest_cluster(means: DataFrame, row_id: str, vec: str, above: float) -> DataFrame:
+def nearest_cluster(means: DataFrame, row_id: str, vec: str, above: float, by: str | None = None) -> DataFrame:
     """For each mean vector the other one with the largest dot product above ``above``: (id, other, sim).
 
     Means are no longer than one, so a dot product above the limit needs an angle below its arc
@@ -324,6 +340,7 @@ def nearest_cluster(means: DataFrame, row_id: str, vec: str, above: float) -> Da
     mutual.
     """
     idt = _id_type(means, row_id)
+    means = means.select(row_id, vec, scope(by))
     schema = T.StructType([T.StructField("id", idt), T.StructField("other", idt), T.StructField("sim", T.DoubleType())])
     pivots = _pivots(means, row_id, vec)
     theta = math.acos(max(-1.0, min(1.0, above)))

@@ -6,6 +6,8 @@ Spanish look-alikes), so that every branch of the rules is taken by some rows.
 
 from __future__ import annotations
 
+import json
+
 from ..functions.text import StatementForm
 
 WORD = r"\p{L}{3,}"
@@ -202,3 +204,35 @@ RULE_RELEVANCE_SQL = sql_rule_rows(
     lambda r, i: f"SELECT doc_id, {q(r.rule_id)} AS rule_id, {sql_relevance('text', r)} AS relevance_score FROM documents "
     f"WHERE length(text) >= 10 AND {sql_contains_any('lower(text)', r.keywords)}"
 )
+
+
+# ---------------------------------------------------------------- clients of the registered queries
+
+
+class RuleClient:
+    """Deterministic stand-in for a model: the need is the first line of the text after the last mark."""
+
+    def __init__(self, mark: str = "TEXT:", max_atoms: int = 3):
+        self.mark, self.max_atoms = mark, max_atoms
+
+    def __call__(self, prompts: list[str]) -> list[tuple[str | None, int, int]]:
+        out: list[tuple[str | None, int, int]] = []
+        for p in prompts:
+            body = p.rsplit(self.mark, 1)[-1].strip()
+            lines = [s for s in body.split("\n") if s.strip()][: self.max_atoms]
+            reply = json.dumps({"atoms": [{"need_statement": s} for s in lines]}, ensure_ascii=False)
+            out.append((reply, len(p) // 4, len(reply) // 4))
+        return out
+
+
+class LineClient:
+    """Deterministic stand-in for a text service: the first line of the prompt body, marked."""
+
+    def __init__(self, prefix: str = "", fail: str = ""):
+        self.prefix, self.fail = prefix, fail
+
+    def __call__(self, prompts: list[str]) -> list[tuple[str | None, int, int]]:
+        return [
+            (None, len(p) // 4, 0) if self.fail and self.fail in p else (self.prefix + p.split("\n")[0], len(p) // 4, 1)
+            for p in prompts
+        ]

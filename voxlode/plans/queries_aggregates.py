@@ -91,7 +91,7 @@ c AS (SELECT app_name, count(*) AS a, count_if(recent) AS b, count_if(recent AND
 u AS (SELECT app_name, unnest([0, 1, 2]) AS ord, unnest(['raw', 'recent', 'candidate']) AS stage, unnest([a, b, g]) AS n, a FROM c)
 SELECT app_name, stage, CAST(n AS BIGINT) AS n, round(n / greatest(a, 1) * 100, 4)::DOUBLE AS retention_pct FROM u""")
 def quality_funnel(spark, d):
-    r = quality.assess_quality(reviews(spark, d).select("app_name", "date", "content"), "content", B.QUALITY)
+    r = quality.assess_quality(reviews(spark, d, rated=False).select("app_name", "date", "content"), "content", B.QUALITY)
     stages = {"raw": F.lit(True), "recent": F.substring("date", 1, 10) >= "2024-04-01", "candidate": F.col("keep")}
     return A.funnel(r, stages, ["app_name"]).select("app_name", "stage", "n", F.round("retention_pct", 4).alias("retention_pct"))
 
@@ -103,7 +103,7 @@ c AS (SELECT v.category, split_part(q.reason, ':', 1) AS reason, count(*) AS n F
 SELECT category, reason, CAST(n AS BIGINT) AS n, CAST(row_number() OVER (PARTITION BY category ORDER BY n DESC, reason) AS INTEGER) AS rank
 FROM c QUALIFY rank <= 5""")
 def rejection_reasons(spark, d):
-    r = quality.assess_quality(reviews(spark, d).select("category", "content"), "content", B.QUALITY)
+    r = quality.assess_quality(reviews(spark, d, rated=False).select("category", "content"), "content", B.QUALITY)
     return A.top_reasons(r.filter(~F.col("keep")), F.col("quality_reason"), ["category"])
 
 
@@ -166,7 +166,7 @@ SELECT app_name, CAST(n AS BIGINT) AS n, CASE WHEN length(h) > 20 THEN substr(h,
 FROM (SELECT *, regexp_replace(intent, '(?s)[，。！？,.!?].*', '') AS h,
       row_number() OVER (PARTITION BY app_name ORDER BY n DESC, f, intent) AS r FROM c) WHERE r = 1""")
 def mode_value(spark, d):
-    r = reviews(spark, d).select("app_name", "doc_id", extract_intent("content", B.INTENTS).alias("intent"))
+    r = reviews(spark, d, rated=False).select("app_name", "doc_id", extract_intent("content", B.INTENTS).alias("intent"))
     m = A.mode_value(r, ["app_name"], "intent", "doc_id")
     return m.select("app_name", "n", A.title_from("intent").alias("title"))
 

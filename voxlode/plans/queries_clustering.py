@@ -31,6 +31,50 @@ def similar_pairs(spark, d):
     return S.similar_pairs(_vec(spark, d), "vec_id", "embedding", 0.3).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
+# Copies, and vectors without direction, of some of the given ones.
+_MIXED_SQL = """SELECT vec_id, embedding::DOUBLE[] AS embedding, label FROM embeddings
+UNION ALL SELECT vec_id + 1000000, embedding::DOUBLE[], label FROM embeddings WHERE vec_id % 10 = 0
+UNION ALL SELECT vec_id + 2000000, [0.0::DOUBLE for x in embedding], label FROM embeddings WHERE vec_id % 50 = 0"""
+
+
+def _mixed(spark, d):
+    v = _vec(spark, d).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    copies = v.filter("vec_id % 10 = 0").withColumn("vec_id", F.col("vec_id") + 1_000_000)
+    zeros = v.filter("vec_id % 50 = 0").select(F.col("vec_id") + 2_000_000, F.transform("embedding", lambda x: F.lit(0.0)), "label")
+    return v.unionByName(copies).union(zeros)
+
+
+@query("similar_pairs_by", "F7", f"""
+WITH r AS ({_MIXED_SQL})
+SELECT a.vec_id AS i, b.vec_id AS j, round(list_cosine_similarity(a.embedding, b.embedding), 6)::DOUBLE AS sim FROM r a JOIN r b ON a.label = b.label AND a.vec_id < b.vec_id
+WHERE a.vec_id < 2000000 AND b.vec_id < 2000000 AND list_cosine_similarity(a.embedding, b.embedding) >= 0.3""")
+def similar_pairs_by(spark, d):
+    """All pairs inside a label, from the pairs of distinct vectors and the copies of each."""
+    rows = _mixed(spark, d)
+    pairs = S.similar_pairs(rows, "vec_id", "embedding", 0.3, by="label").withColumn("sim", F.round("sim", 6))
+    member = rows.select("vec_id", (F.col("vec_id") % 1_000_000).alias("rep"))
+    apart = pairs.filter("i % 1000000 <> j % 1000000")
+    full = (
+        apart.join(member.select(F.col("vec_id").alias("a"), F.col("rep").alias("i")).filter("a < 2000000"), "i")
+        .join(member.select(F.col("vec_id").alias("b"), F.col("rep").alias("j")).filter("b < 2000000"), "j")
+        .select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "sim")
+    )
+    return full.unionByName(pairs.filter("i % 1000000 = j % 1000000"))
+
+
+@query("nearest_match_by", "F8", f"""
+WITH r AS ({_MIXED_SQL}), p AS (
+  SELECT n.vec_id AS new_id, m.vec_id AS main_id, list_cosine_similarity(n.embedding, m.embedding) AS sim
+  FROM r n JOIN r m ON n.label = m.label AND n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0 AND n.vec_id < 2000000 AND m.vec_id < 2000000)
+SELECT new_id, main_id, round(sim, 6)::DOUBLE AS sim FROM p WHERE sim >= 0.3 QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY round(sim, 12) DESC, main_id) = 1""")
+def nearest_match_by(spark, d):
+    rows = _mixed(spark, d)
+    new = rows.filter("vec_id % 4 = 0").select(F.col("vec_id").alias("new_id"), "embedding", "label")
+    main = rows.filter("vec_id % 4 <> 0").select(F.col("vec_id").alias("main_id"), "embedding", "label")
+    m = S.nearest_match(new, main, "new_id", "main_id", "embedding", 0.3, by="label")
+    return m.select("new_id", "main_id", F.round("sim", 6).alias("sim"))
+
+
 @query("nearest_match", "F8", """
 WITH p AS (SELECT n.vec_id AS new_id, m.vec_id AS main_id, list_cosine_similarity(n.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS sim
   FROM embeddings n JOIN embeddings m ON n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0)

@@ -46,9 +46,9 @@ _PROMPT_SQL = """'source ' || channel || ' product ' || CASE WHEN channel <> 'fo
 def infer_batches(spark, d):
     p = _candidates(spark, d).select("id", N.atom_prompt(TEMPLATE, "forum").alias("prompt"))
     path = scratch_path(spark, "replies")
-    N.infer_batches(p.filter("substr(id, -1, 1) in ('1', '3')"), "id", "prompt", N.RuleClient, 4, path)
+    N.infer_batches(p.filter("substr(id, -1, 1) in ('1', '3')"), "id", "prompt", B.RuleClient, 4, path)
     # The second run asks only for what the first left open.
-    return N.resume_infer(p, "id", "prompt", N.RuleClient, 4, path).select("id", "prompt_tokens", F.col("reply").isNotNull().alias("answered"))
+    return N.resume_infer(p, "id", "prompt", B.RuleClient, 4, path).select("id", "prompt_tokens", F.col("reply").isNotNull().alias("answered"))
 
 
 _REPLY = """CASE doc_id % 6
@@ -90,28 +90,48 @@ def strip_fences(spark, d):
     return e.select("event_id", N.parsed_or_error(reply, "k bigint").alias("p")).select("event_id", "p.value.k", "p.error")
 
 
-@query("apply_merge_decisions", "J6", """
-WITH g AS (SELECT doc_id, doc_id // 4 AS grp, doc_id % 4 AS loc FROM documents)
-SELECT grp || '/0' AS out_id, 'merged' AS kind, doc_id, 'M' || grp AS merged_title, CAST(CASE WHEN loc = 1 THEN 2 ELSE 1 END AS BIGINT) AS times FROM g WHERE grp % 5 = 0 AND loc IN (0, 1)
-UNION ALL SELECT grp || '/1', 'merged', doc_id, 'N' || grp, CAST(CASE WHEN loc = 1 THEN 2 ELSE 1 END AS BIGINT) FROM g WHERE grp % 5 = 0 AND loc IN (1, 2)
-UNION ALL SELECT CAST(doc_id AS VARCHAR), 'excluded', doc_id, NULL, 1 FROM g WHERE grp % 5 = 0 AND loc = 3
-UNION ALL SELECT CAST(doc_id AS VARCHAR), 'kept', doc_id, NULL, 1 FROM g WHERE grp % 5 = 1
-UNION ALL SELECT CAST(doc_id AS VARCHAR), 'undecided', doc_id, NULL, 1 FROM g WHERE grp % 5 = 2
-UNION ALL SELECT CAST(doc_id AS VARCHAR), CASE WHEN loc = 1 THEN 'excluded' ELSE 'unnamed' END, doc_id, NULL, 1 FROM g WHERE grp % 5 >= 3""")
-def apply_merge_decisions(spark, d):
+_J6_GROUPS = "WITH g AS (SELECT doc_id, doc_id // 4 AS grp, doc_id % 4 AS loc, source, n_chars FROM documents)"
+
+
+def _merge_rounds(spark, d):
+    """Groups of four documents, and a decision for four groups of five."""
     g = table(spark, d, "documents").select(
         "doc_id", F.floor(F.col("doc_id") / 4).alias("grp"), (F.col("doc_id") % 4).cast("int").alias("loc"))
-    mg = "array<struct<merged_title:string,cluster_indices:array<int>>>"
+    one = "array<struct<merged_title:string,merged_score:bigint,cluster_indices:array<int>>>"
     dec = g.select("grp").distinct().filter("grp % 5 <> 2").select(
         "grp", (F.col("grp") % 5 != 1).alias("should_merge"),
-        F.when(F.col("grp") % 5 == 0, F.expr("array(named_struct('merged_title', concat('M', grp), 'cluster_indices', array(0, 1)), named_struct('merged_title', concat('N', grp), 'cluster_indices', array(1, 2)))"))
-        .when(F.col("grp") % 5 == 3, F.expr("array(named_struct('merged_title', 'X', 'cluster_indices', array(9)))"))
-        .otherwise(F.array().cast(mg)).cast(mg).alias("merge_groups"),
+        F.when(F.col("grp") % 5 == 0, F.expr("array(named_struct('merged_title', concat('M', grp), 'merged_score', 7L, 'cluster_indices', array(1, 0, 1)), named_struct('merged_title', concat('N', grp), 'merged_score', CAST(NULL AS BIGINT), 'cluster_indices', array(2, 1)))"))
+        .when(F.col("grp") % 5 == 3, F.expr("array(named_struct('merged_title', 'X', 'merged_score', 1L, 'cluster_indices', array(9)))"))
+        .otherwise(F.array().cast(one)).cast(one).alias("merge_groups"),
         F.when(F.col("grp") % 5 == 0, F.array(F.lit(3))).otherwise(F.array(F.lit(1))).alias("exclude_indices"),
     )
     return N.apply_merge_decisions(g, dec, "grp", "doc_id", "loc")
 
 
+@query("apply_merge_decisions", "J6", f"""
+{_J6_GROUPS}
+SELECT grp || '/0' AS out_id, 'merged' AS kind, doc_id, 'M' || grp AS merged_title, CAST(CASE WHEN loc = 1 THEN 2 ELSE 1 END AS BIGINT) AS times FROM g WHERE grp % 5 = 0 AND loc IN (0, 1)
+UNION ALL SELECT grp || '/1', 'merged', doc_id, 'N' || grp, CAST(CASE WHEN loc = 1 THEN 2 ELSE 1 END AS BIGINT) FROM g WHERE grp % 5 = 0 AND loc IN (1, 2)
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'excluded', doc_id, NULL, 1 FROM g WHERE grp % 5 = 0 AND loc = 3
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'kept', doc_id, NULL, 1 FROM g WHERE grp % 5 = 1
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'undecided', doc_id, NULL, 1 FROM g WHERE grp % 5 = 2
+UNION ALL SELECT CAST(doc_id AS VARCHAR), CASE WHEN loc = 1 THEN 'excluded' ELSE 'unnamed' END, doc_id, NULL, 1 FROM g WHERE grp % 5 >= 3""")
+def apply_merge_decisions(spark, d):
+    return _merge_rounds(spark, d).select("out_id", "kind", "doc_id", "merged_title", "times")
+
+
+@query("merged_fields", "J6", f"""
+{_J6_GROUPS},
+m AS (SELECT grp || '/0' AS out_id, 'merged' AS kind, 1 - loc AS ord, doc_id, source, n_chars, 7 AS given FROM g WHERE grp % 5 = 0 AND loc IN (0, 1)
+  UNION ALL SELECT grp || '/1', 'merged', 2 - loc, doc_id, source, n_chars, NULL FROM g WHERE grp % 5 = 0 AND loc IN (1, 2)
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), CASE WHEN grp % 5 = 1 THEN 'kept' WHEN grp % 5 = 2 THEN 'undecided' WHEN grp % 5 = 0 OR loc = 1 THEN 'excluded' ELSE 'unnamed' END, 0, doc_id, source, n_chars, NULL
+  FROM g WHERE grp % 5 <> 0 OR loc = 3)
+SELECT out_id, kind, count(*) AS members, arg_min(source, ord) AS title_source, CAST(coalesce(max(given), round_even(avg(n_chars), 0)) AS BIGINT) AS score FROM m GROUP BY out_id, kind""")
+def merged_fields(spark, d):
+    items = table(spark, d, "documents").select("doc_id", F.col("source").alias("title_source"), F.col("n_chars").alias("score"))
+    return N.merged_fields(_merge_rounds(spark, d), items, "doc_id", ["title_source"], ["score"])
+
+
 @query("overlapping_batches", "J7", """
 WITH r AS (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS z, count(*) OVER (PARTITION BY lang) AS t FROM documents)
 SELECT lang, doc_id, 'a' || (z // 30) AS batch, CAST(z % 30 AS INTEGER) AS local FROM r
@@ -166,5 +186,5 @@ def translate_missing(spark, d):
     recent = dates.recent_only("date", "2024-02-01", keep_unparsed=True)
     client = N.with_fallback
     out, _ = N.translate_missing(
-        c, done, good, recent, lambda: client([N.LineClient("é ", fail="der"), N.LineClient("ê ")]), 4, "À-ÿ")
+        c, done, good, recent, lambda: client([B.LineClient("é ", fail="der"), B.LineClient("ê ")]), 4, "À-ÿ")
     return out.select("id", "has_translation", F.length("content_out").alias("chars"))

@@ -114,7 +114,7 @@ SELECT id, CASE WHEN category = 'en' AND (app_name = 'one group' OR contains(app
   WHEN category = 'en' AND (contains(app_name, 'src3') OR contains('src3', app_name)) THEN 'two group' WHEN category = 'en' AND app_name = 'src4' THEN 'src4'
   WHEN category = 'fr' AND (contains(app_name, 'src2') OR contains('src2', app_name)) THEN 'deux' ELSE app_name END AS target FROM ({REVIEWS_SQL})""")
 def resolve_merge_target(spark, d):
-    return reviews(spark, d).select("id", J.resolve_merge_target("app_name", "category", MERGE_RULES).alias("target"))
+    return reviews(spark, d, rated=False).select("id", J.resolve_merge_target("app_name", "category", MERGE_RULES).alias("target"))
 
 
 @query("resume_anti_join", "F9 I1", """

@@ -71,7 +71,7 @@ WITH r AS (SELECT category, doc_id, row_number() OVER (PARTITION BY category ORD
   min(doc_id) OVER (PARTITION BY category) AS f, count(*) OVER () AS t FROM ({REVIEWS_SQL}))
 SELECT category, doc_id FROM (SELECT * FROM r WHERE r <= greatest(1, floor(60 * c / t)) ORDER BY f, r LIMIT 60)""")
 def proportional_sample(spark, d):
-    return R.proportional_sample(reviews(spark, d).select("category", "doc_id"), "category", "doc_id", 60)
+    return R.proportional_sample(reviews(spark, d, rated=False).select("category", "doc_id"), "category", "doc_id", 60)
 
 
 @query("capped_candidates", "H6", f"""
@@ -93,7 +93,7 @@ def dedupe_first(spark, d):
 
 @query("dedupe_near", "H8")
 def dedupe_near(spark, d):
-    r = reviews(spark, d).select("id", "app_name", "content", F.length("content").cast("double").alias("score"))
+    r = reviews(spark, d, rated=False).select("id", "app_name", "content", F.length("content").cast("double").alias("score"))
     return R.dedupe_near(r, "app_name", "content", "score", "id").select("app_name", "id", "rank")
 
 
@@ -168,7 +168,7 @@ def review_lines_pack(spark, d):
 @query("refresh_evidence", "H15")
 def refresh_evidence(spark, d):
     fresh = _spread(spark, d).select(F.col("topic").alias("demand_id"), "row_id", F.lit("fresh").alias("state"))
-    old = tagging.match_rules(reviews(spark, d).select("id", "content"), "content", B.RULES)
+    old = tagging.match_rules(reviews(spark, d, rated=False).select("id", "content"), "content", B.RULES)
     names = {r.rule_id: r.label for r in B.RULES}
     old = R.top_k(old.withColumn("demand_id", R.display_name(names, "rule_id")), ["demand_id"], ["id"], 5)
     return R.refresh_evidence(old.select("demand_id", F.col("id").alias("row_id"), F.lit("old").alias("state")), fresh, "demand_id")

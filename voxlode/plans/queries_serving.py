@@ -105,21 +105,21 @@ def need_view(spark, d):
 def _main_and_new(spark, d):
     v = table(spark, d, "embeddings")
     main = v.filter("vec_id % 4 <> 0").select(
-        F.concat(F.lit("m"), F.lpad(F.col("vec_id").cast("string"), 9, "0")).alias("id"), F.lit("all").alias("category"), "embedding",
+        F.concat(F.lit("m"), F.lpad(F.col("vec_id").cast("string"), 9, "0")).alias("id"), F.concat(F.lit("c"), F.col("label").cast("string")).alias("category"), "embedding",
         (F.col("vec_id") % 17).cast("bigint").alias("mention_count"), F.lit(False).alias("is_new"), F.lit("2024-01-01").alias("discovered_at"),
         F.lit(None).cast("string").alias("last_updated_at"), F.lit("P2").alias("priority"))
-    new = v.filter("vec_id % 4 = 0").select(F.col("vec_id").alias("ord"), F.lit("all").alias("category"), "embedding", (F.col("label") + 1).alias("size"))
+    new = v.filter("vec_id % 4 = 0").select(F.col("vec_id").alias("ord"), F.concat(F.lit("c"), F.col("label").cast("string")).alias("category"), "embedding", (F.col("label") + 1).alias("size"))
     return main, new
 
 
 _MERGED_SQL = """
 WITH p AS (SELECT n.vec_id AS n, m.vec_id AS m, n.label + 1 AS size, list_cosine_similarity(n.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS sim
-  FROM embeddings n JOIN embeddings m ON n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0),
+  FROM embeddings n JOIN embeddings m ON n.label = m.label AND n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0),
 b AS (SELECT * FROM p WHERE sim >= 0.35 QUALIFY row_number() OVER (PARTITION BY n ORDER BY round(sim, 12) DESC, m) = 1),
 g AS (SELECT m, sum(size) AS add FROM b GROUP BY m)
 SELECT 'm' || lpad(CAST(vec_id AS VARCHAR), 9, '0') AS id, CAST(vec_id % 17 + coalesce(add, 0) AS BIGINT) AS mention_count, false AS is_new, CASE WHEN add IS NOT NULL THEN '2024-07-01' END AS last_updated_at
 FROM embeddings LEFT JOIN g ON g.m = vec_id WHERE vec_id % 4 <> 0
-UNION ALL SELECT 'all_demand_new_2024-07-01_' || vec_id, CAST(label + 1 AS BIGINT), true, NULL FROM embeddings WHERE vec_id % 4 = 0 AND vec_id NOT IN (SELECT n FROM b)"""
+UNION ALL SELECT 'c' || label || '_demand_new_2024-07-01_' || vec_id, CAST(label + 1 AS BIGINT), true, NULL FROM embeddings WHERE vec_id % 4 = 0 AND vec_id NOT IN (SELECT n FROM b)"""
 
 
 @query("merge_increment", "L3 F8", _MERGED_SQL)

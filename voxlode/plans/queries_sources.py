@@ -82,20 +82,18 @@ def unify_sources(spark, d):
     return u.select("id", F.md5("content").alias("content_key"), "app_name", "rating", "day", "source")
 
 
-@query("discover_files", "A4", "SELECT lang AS category, CAST(count(*) AS BIGINT) AS rows FROM documents WHERE lang IN ('en', 'fr') GROUP BY lang")
+@query("discover_files", "A4", "SELECT lang AS category, lang || '_20240401.json' AS file, CAST(count(*) AS BIGINT) AS rows FROM documents GROUP BY lang")
 def discover_files(spark, d):
     path = scratch_path(spark, "byname")
-    rows = reviews(spark, d).select("category", "id")
-    for c in ("en", "fr"):
-        rows.filter(F.col("category") == c).select("id").write.json(f"{path}/{c}_20240401.json")
+    rows = reviews(spark, d, rated=False).select("category", F.concat("category", F.lit("_20240401.json")).alias("file"), "id")
+    # Each name is a folder here, as one landed file is written in parts.
+    rows.withColumn("name", F.col("file")).write.partitionBy("name").json(path)
     found = None
-    for c in ("en", "fr"):
-        # Each name is a folder here, as one landed file may be written in parts.
-        part = spark.read.schema("id string").json(f"{path}/{c}*").groupBy(F.lit(c).alias("category")).agg(F.count(F.lit(1)).alias("rows"))
+    for c in ("en", "de", "fr", "es"):
+        part = K.discover_files(spark, f"{path}/name={c}_20240401.json", "part-").select(F.lit(c).alias("want"), F.explode(F.split(F.rtrim("body"), "\n")).alias("line"))
         found = part if found is None else found.unionByName(part)
-    return found
-
-
+    seen = found.select("want", F.from_json("line", "category string, file string, id string").alias("r")).filter("r.category = want")
+    return seen.groupBy(F.col("r.category").alias("category"), F.col("r.file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _payloads(spark, d):

@@ -146,7 +146,7 @@ def split_source(spark, d):
         .when(n % 7 == 0, F.concat("channel", F.lit(" - [dead]")))
         .otherwise(F.concat_ws(" - ", "channel", "app_name", "category"))
     )
-    return reviews(spark, d).select("id", text.split_source(src).alias("s")).select("id", "s.platform", "s.label")
+    return reviews(spark, d, rated=False).select("id", text.split_source(src).alias("s")).select("id", "s.platform", "s.label")
 
 
 @query("channel_of_url", "B12", "SELECT page_id, CASE " + " ".join(
@@ -166,7 +166,7 @@ def source_url(spark, d):
         ("store", F.col("app_name"), "https://store.example.org/app/{}?see-all=reviews"),
         ("forum", F.col("doc_id"), "https://forum.example.org/item?id={}"),
     ]
-    return reviews(spark, d).select("id", text.source_url(given, "channel", forms).alias("link"))
+    return reviews(spark, d, rated=False).select("id", text.source_url(given, "channel", forms).alias("link"))
 
 
 @query("content_key", "B14", f"""
@@ -201,7 +201,7 @@ SELECT doc_id, 'as_' || CASE WHEN doc_id % 3 = 0 THEN substr(md5(content), 1, 8)
 FROM ({REVIEWS_SQL})""")
 def stable_id(spark, d):
     key = F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))
-    return reviews(spark, d).select("doc_id", text.stable_id("as_", key, "content").alias("rid"))
+    return reviews(spark, d, rated=False).select("doc_id", text.stable_id("as_", key, "content").alias("rid"))
 
 
 @query("term_overlap", "I2", f"""

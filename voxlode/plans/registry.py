@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 Runner = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,6 +33,7 @@ def query(name: str, ids: str, sql: str | None = None) -> Callable[[Runner], Run
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Day labels and cutoffs are defined on the UTC time line.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship(spark)
             return fn(spark, sf_dir)
 
         REGISTRY[name] = Query(name, ids, run, sql)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -28,6 +32,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, for clusters where it is not installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="voxlode-")
+    archive = os.path.realpath(os.path.join(folder, f"{package.name}.zip"))
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in reliable storage and return it without its lineage."""
     spark = df.sparkSession

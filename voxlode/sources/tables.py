@@ -6,49 +6,31 @@ can start from the same rows.
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Key of each table whose rows are costly to process (texts, vectors).
-SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id"}
-SMALL_FILE = 128 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    A small local Parquet file is one row group and would be one task; its rows are spread over the
-    cores by key.  Tables of cluster size have enough row groups and are read as they are.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    local = Path(path)
-    if name in SPREAD_KEYS and local.is_file() and local.stat().st_size < SMALL_FILE:
-        return df.repartition(spark.sparkContext.defaultParallelism, SPREAD_KEYS[name])
-    return df
 
-
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store-like reviews: one row per document, rating from the quality label."""
+def reviews(spark: SparkSession, sf_dir: str, rated: bool = True) -> DataFrame:
+    """Store-like reviews: one row per document; with ``rated`` the rating from the quality label, which costs a join."""
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     n = F.col("doc_id")
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (n % 366).cast("int")), "yyyy-MM-dd")
     clock = F.when(n % 3 == 0, "T23:30:00-07:00").when(n % 3 == 1, "T08:15:00Z").otherwise("")
-    return docs.join(labels, "doc_id", "left").select(
+    rating = F.when(F.col("quality") == 1, 5 - n % 2).when(F.col("quality") == 0, 1 + n % 2).otherwise(1 + n % 5).cast("int")
+    if rated:
+        docs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return docs.select(
         F.concat(F.lit("doc_"), n.cast("string")).alias("id"),
         n,
         F.col("text").alias("content"),
         F.col("source").alias("app_name"),
         F.col("lang").alias("category"),
-        F.when(F.col("quality") == 1, 5 - n % 2)
-        .when(F.col("quality") == 0, 1 + n % 2)
-        .otherwise(1 + n % 5)
-        .cast("int")
-        .alias("rating"),
+        *([rating.alias("rating")] if rated else []),
         F.concat(F.lit("u"), (n % 97).cast("string")).alias("author"),
         F.concat(day, clock).alias("date"),
         F.when(n % 3 == 0, "store").when(n % 3 == 1, "play").otherwise("forum").alias("channel"),
@@ -97,14 +79,12 @@ WHERE c.role = 'user'
 
 
 def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Need atoms: one to three per embedded document, one per leading line."""
-    src = reviews(spark, sf_dir).join(
-        table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id"
-    )
+    """Need atoms: one per line of every document."""
+    label = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("_label"))
+    src = reviews(spark, sf_dir).join(label, "doc_id", "left").withColumn("label", F.coalesce("_label", F.col("doc_id") % 10))
     lines = F.filter(F.split("content", "\n"), lambda s: F.length(s) > 0)
-    keep = (1 + F.col("label") % 3).cast("int")
     return (
-        src.withColumn("line", F.slice(lines, F.lit(1), keep))
+        src.withColumn("line", lines)
         .select("*", F.posexplode("line").alias("pos", "need_statement"))
         .select(
             F.concat("id", F.lit("_a"), (F.col("pos") + 1).cast("string")).alias("atom_id"),
@@ -140,10 +120,10 @@ SELECT id || '_a' || CAST(pos + 1 AS VARCHAR) AS atom_id, id AS source_review_id
        {SENTIMENTS}[label % 5 + 1] AS sentiment, {NEED_TYPES}[label % 3 + 1] AS type,
        CAST(label AS INTEGER) AS label, category
 FROM (
-  SELECT *, unnest(range(least(1 + label % 3, len(lines)))) AS pos
+  SELECT *, unnest(range(len(lines))) AS pos
   FROM (
-    SELECT r.*, e.label AS label, [s for s in string_split(r.content, chr(10)) if length(s) > 0] AS lines
-    FROM ({REVIEWS_SQL}) r JOIN embeddings e ON e.vec_id = r.doc_id
+    SELECT r.*, coalesce(e.label, r.doc_id % 10) AS label, [s for s in string_split(r.content, chr(10)) if length(s) > 0] AS lines
+    FROM ({REVIEWS_SQL}) r LEFT JOIN embeddings e ON e.vec_id = r.doc_id
   ) a
 ) b
 """

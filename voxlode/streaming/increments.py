@@ -58,12 +58,12 @@ def merge_increment(
 
     ``main``: id, vec, category, mention_count, is_new, discovered_at, last_updated_at, ...;
     ``new``: category, ord (unique), size, vec and any other column of ``main``.  A new row joins its most similar
-    main row if the cosine is at least ``t``: the sizes are added and the date is set.  Others are
+    main row of its category if the cosine is at least ``t``: the sizes are added and the date is set.  Others are
     appended, flagged as new.  New rows are compared with the old list only.
     """
-    asks = new.select(F.col("ord").alias("_new"), vec)
-    olds = main.select(F.col("id").alias("_old"), vec)
-    match = nearest_match(asks, olds, "_new", "_old", vec, t)
+    asks = new.select(F.col("ord").alias("_new"), vec, "category")
+    olds = main.select(F.col("id").alias("_old"), vec, "category")
+    match = nearest_match(asks, olds, "_new", "_old", vec, t, by="category")
     hit = new.join(match.select(F.col("_new").alias("ord"), "_old"), "ord")
     grown = hit.groupBy("_old").agg(F.sum("size").alias("_add"))
     kept = (
