@@ -289,6 +289,13 @@ def test_first_leaders_equal_the_loop(spark):
     assert {r.node: r.leader for r in first_leaders(nodes, e).collect()} == leader
 
 
+def test_time_stratified_sample_keeps_topics_of_the_last_day(spark):
+    df = spark.createDataFrame([("late", 1, "a", "2025-12-31T12:00:00Z", 1), ("early", 2, "a", "2025-01-02T00:00:00Z", 2)], "topic string, id long, app string, t string, o long")
+    df = df.withColumn("ts", F.col("t").cast("timestamp"))
+    out = R.time_stratified_sample(df, "topic", "id", "app", "ts", "o", F.lit("2025-01-01T00:00:00Z").cast("timestamp"), 365, k=7)
+    assert {(r.topic, r.row_id, r["pass"]) for r in out.collect()} == {("late", 1, 2), ("early", 2, 1)}
+
+
 def test_first_leaders_on_a_long_chain(spark):
     n = 10_000
     nodes = spark.range(n).select(F.col("id").alias("node"), F.col("id").alias("rank"))
