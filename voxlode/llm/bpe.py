@@ -30,9 +30,9 @@ from .flat import slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Texts that match are not cut at spaces.
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
-MEMORY = 400_000
+MEMORY = 200_000
 #: Text bytes in a lot: the more, the more pieces are equal.
-LOT_BYTES = 8 << 20
+LOT_BYTES = 3 << 20
 
 
 def byte_letters() -> list[str]:

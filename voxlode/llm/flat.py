@@ -5,6 +5,8 @@ All helpers work on whole texts, keep document borders, and take nulls as empty
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +41,7 @@ def flatten(texts: list[bytes]) -> Flat:
 
 def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``most`` text bytes; column 1 is the text."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -47,6 +50,16 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[p
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker is used again by later stages, which need it for other things."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def lower_ascii(buf: np.ndarray) -> np.ndarray:

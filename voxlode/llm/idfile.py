@@ -30,9 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import LOT_BYTES, PATTERN, UNSAFE, cut_pieces, expand
+from .bpe import PATTERN, UNSAFE, cut_pieces, expand
 from .flat import slices
 
+#: Text bytes in a shard: the more, the more pieces are equal.
+LOT_BYTES = 8 << 20
 HEAD = struct.Struct("<4sIQIQ")
 MAGIC = b"RKID"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1

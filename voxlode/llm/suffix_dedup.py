@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_width
-from .flat import PRIME, mix
+from .flat import PRIME, give_back, mix
 
 SEED = 24
 PIECE = 1 << 20
@@ -98,6 +98,7 @@ def pieces(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[list
 
     A long text comes in pieces that overlap by all but one byte of a window, so that each window is in one piece.
     """
+    give_back()
     ids, at, parts, size = [], [], [], 0
     for rows in batches:
         for doc, text, base in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()), rows.column(2).to_pylist()):
@@ -422,6 +423,7 @@ def _merged(splitters: list[bytes], width: int, pdf: pd.DataFrame) -> pd.DataFra
     if members:
         anchor_ends()
     frame = _as_spans(doc_, start_, end_)
+    give_back()
     return pd.concat([frame, _out(left)]) if left else frame
 
 
@@ -510,7 +512,7 @@ def repeated_spans(rows: DataFrame, width: int = 100) -> DataFrame:
     return spans.unionByName(second.select("doc", "start", "end"))
 
 
-def _kept(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _kept(names: list[str], as_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         keys, texts, bases, spans = (rows.column(i) for i in range(4))
         kept, out = [], []
@@ -527,19 +529,24 @@ def _kept(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             edge = [0, *(x for pair in cut for x in pair), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(edge[::2], edge[1::2])))
             out.append([{"start": s, "end": e} for s, e in cut])
+        # A character of which only some bytes are left goes too.
+        left = pa.array([b.decode(errors="ignore") for b in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         size = pa.array([len(t or b"") for t in texts.cast(pa.binary()).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([keys, *rows.columns[4:], size, pa.array(kept, pa.binary()), pa.array(out, kind)], ["doc", *names, "n_bytes", "kept", "spans"])
+        yield pa.RecordBatch.from_arrays([keys, *rows.columns[4:], size, left, pa.array(out, kind)], ["doc", *names, "n_bytes", "kept", "spans"])
 
 
-def remove_repeats(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """(key, [carry], n_bytes, kept binary, spans array<struct<start,end>>): the bytes left of each text and its maximal removed runs."""
+def remove_repeats(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
+    """(key, [carry], n_bytes, kept, spans array<struct<start,end>>): what is left of each text and its maximal removed runs.
+
+    ``kept`` is binary, or with ``as_text`` the whole characters that are left.
+    """
     names = [f"c{i}" for i in range(len(carry))]
     carried = "".join(f", {n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, carry))
     rows = place_rows(df, key, text, carry)
     per_doc = repeated_spans(rows.select("doc", "text", "base"), width).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.join(per_doc, "doc", "left").select("doc", "text", "base", "spans", *names)
-    out = joined.mapInArrow(lambda it: _kept(names, it), f"doc long{carried}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    out = joined.mapInArrow(lambda it: _kept(names, as_text, it), f"doc long{carried}, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,end:long>>")
     return out.select(F.nullif("doc", F.lit(NO_ID)).alias(key), *(F.col(n).alias(c) for n, c in zip(names, carry)), "n_bytes", "kept", "spans")
 
 
@@ -557,14 +564,11 @@ def shorten(df: DataFrame, width: int = 100, key: str = "doc_id", text: str = "t
     names = df.columns
     plain = df.toDF(*(f"x{i}" for i in range(len(names))))
     k, t = f"x{names.index(key)}", f"x{names.index(text)}"
-    left = remove_repeats(plain, width, k, t, carry=[c for c in plain.columns if c != k])
-    new = F.when(F.size("spans") > 0, F.pandas_udf(whole_characters, "string")("kept")).otherwise(F.col(t))
+    left = remove_repeats(plain, width, k, t, carry=[c for c in plain.columns if c != k], as_text=True)
+    new = F.when(F.size("spans") > 0, F.col("kept")).otherwise(F.col(t))
     left = left.withColumn(t, new)
     if length in names:
         n = f"x{names.index(length)}"
         left = left.withColumn(n, F.when(F.size("spans") > 0, F.length(t).cast(plain.schema[n].dataType)).otherwise(F.col(n)))
     return left.select(*(F.col(f"x{i}").alias(n) for i, n in enumerate(names)))
 
-
-def whole_characters(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda b: None if b is None else b.decode(errors="ignore"))
