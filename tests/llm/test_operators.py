@@ -220,6 +220,18 @@ def test_lm_beats_counts_on_held_out(spark):
     assert got[0] > got[1]
 
 
+def test_lm_learns_the_same_from_any_files(spark, monkeypatch):
+    """One partition and 40 give the same model, though a step has several lanes."""
+    monkeypatch.setattr(lm, "UNIT", 1 << 13)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = [lm.score_texts(docs.repartition(n), toxicity.fold("doc_id", 10) == 0).agg(F.sum("score"), F.sum("base_score")).first() for n in (1, 40)]
+    assert got[0][0] == pytest.approx(got[1][0], rel=1e-5) and got[1][0] > got[1][1]
+
+
+def test_lm_steps_grow_with_the_corpus():
+    assert [lm.plan(n * lm.UNIT) for n in (1, 4, 5, 100, 10_000)] == [(1, 1), (2, 2), (3, 2), (10, 10), (100, 100)]
+
+
 # ---- 6 ------------------------------------------------------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ smoothed share of its class, so that the probabilities of all tokens add up to o
 unseen token of its class.
 
 * Counts cover all training texts; they are summed per task first and then by Spark.
-* Training takes every training token in every round.  Each task starts from the same parameters and goes once through its texts;
-  the tasks' parameters are averaged by their number of tokens, by salted partial sums.
+* Training takes every training token in every round.  Texts are dealt by their hash to units of about ``UNIT`` tokens, and units to steps and
+  lanes, about as many of the one as of the other.  All lanes of a step start from the average of the step before (parameters and squared gradients,
+  weighted by tokens), so the steps that build on each other grow with the corpus and do not depend on how its files are laid out.
 * Scoring covers all texts.  The counts of up to ``LISTED`` tokens are sent to the tasks (all that occur at least as often as a threshold taken from the
   histogram of counts); the counts of rarer ones come by a join on the token's hash, added up per row.
 
@@ -18,13 +19,13 @@ unknown, and score and base are those of an empty count.  Tokens are told apart
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,14 +35,14 @@ from .flat import flatten, lower_ascii, mix, range_hashes, slices, text_bytes, w
 ORDER, WIDTH = 3, 16
 TOP, ENDINGS = 384, 127
 LISTED = 1 << 20
-ROUNDS, BATCH, NOISE, RATE = 1, 1024, 24, 0.08
+ROUNDS, BATCH, NOISE, RATE = 2, 1024, 32, 0.08
+UNIT = 1 << 18
 SMOOTH = 0.1
 END = TOP + ENDINGS
 CLASSES = END + 1
 START = CLASSES
 #: The end of a text as a token.
 END_HASH = np.uint64(0xE4D)
-BLOCK = 256
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,6 +156,10 @@ class Parameters:
         mixers = np.repeat(np.eye(WIDTH, dtype=np.float32)[None] / ORDER, ORDER, 0)
         return cls(small(CLASSES + 1, WIDTH), small(CLASSES, WIDTH), mixers, np.log(share).astype(np.float32))
 
+    def unmoved(self) -> Parameters:
+        """Squared gradients before the first step."""
+        return Parameters(*(np.full(x.shape, 0.05, np.float32) for x in self.parts()))
+
     def parts(self) -> list[np.ndarray]:
         return [self.context, self.target, self.mixers, self.bias]
 
@@ -194,9 +199,9 @@ def _grouped(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Trainer:
     """Noise-contrastive estimation with adaptive steps; the noise of a batch is shared by its tokens."""
 
-    def __init__(self, p: Parameters, class_count: np.ndarray, seed: int):
+    def __init__(self, p: Parameters, class_count: np.ndarray, seed: int | list[int], past: Parameters | None = None):
         self.p = Parameters(*(x.copy() for x in p.parts()))
-        self.past = [np.full(x.shape, 0.05, np.float32) for x in p.parts()]
+        self.past = [x.copy() for x in (past or p.unmoved()).parts()]
         self.random = np.random.default_rng(seed)
         share = (class_count + 1) / (class_count.sum() + CLASSES)
         self.cumulative = np.cumsum(share)
@@ -265,40 +270,81 @@ def log_probabilities(p: Parameters, target: np.ndarray, context: np.ndarray) ->
     return out
 
 
-def _trained(p: Parameters, vocab: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task = TaskContext.get().partitionId()
-    trainer = Trainer(p, vocab.class_count, task)
+def _dealt(vocab: Vocabulary, steps: int, lanes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of every text, with the step and lane that learn from it; repeated rows of a lot go apart."""
     for rows in slices(batches):
         h, ending, first = tokens(text_bytes(rows.column(1)))
-        trainer.train(*sequences(vocab.classes_of(h, ending), first))
-    if trainer.seen:
-        values = trainer.p.flat().astype(float) * trainer.seen
-        blocks = [values[i : i + BLOCK].tolist() for i in range(0, len(values), BLOCK)]
-        n = len(blocks)
+        cls = vocab.classes_of(h, ending).astype("<i2")
+        place = np.asarray(rows.column(0)).view(np.uint64)
+        order = np.argsort(place, kind="stable")
+        ranked = place[order]
+        begin = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        copy = np.empty(len(place), np.uint64)
+        copy[order] = np.arange(len(place)) - np.repeat(begin, np.diff(np.append(begin, len(place))))
+        unit = (mix(place + copy) % np.uint64(steps * lanes)).astype(np.int64)
+        classes = pa.Array.from_buffers(pa.binary(), len(place), [None, pa.py_buffer((2 * first).astype(np.int32)), pa.py_buffer(cls.tobytes())])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, task % 64, np.int32)), pa.array(np.full(n, float(trainer.seen))), pa.array(blocks, pa.list_(pa.float64()))],
-            ["block", "salt", "weight", "total"],
+            [pa.array((unit // lanes).astype(np.int32)), pa.array((unit % lanes).astype(np.int32)), pa.array(place.view(np.int64)), classes],
+            ["step", "lane", "place", "classes"],
         )
 
 
-SUMS = "block int, salt int, weight double, total array<double>"
+SUMS = "salt int, lane int, weight double, total binary"
+
+
+def _taught(p: Parameters, past: Parameters, class_count: np.ndarray, turn: int, salts: int, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One lane of one step: its parameters and squared gradients times its tokens."""
+    pdf = pdf.sort_values("place")
+    lane = int(pdf.lane.iloc[0])
+    trainer = Trainer(p, class_count, [turn, lane], past)
+    texts = [np.frombuffer(c, "<i2") for c in pdf.classes]
+    n = np.array([len(t) for t in texts])
+    edges = [0, *(np.flatnonzero(np.diff(np.cumsum(n) // UNIT)) + 1).tolist(), len(n)]
+    for a, b in zip(edges, edges[1:]):
+        trainer.train(*sequences(np.concatenate(texts[a:b]).astype(np.int64), np.concatenate(([0], np.cumsum(n[a:b])))))
+    values = np.concatenate((trainer.p.flat(), Parameters(*trainer.past).flat())).astype(float) * trainer.seen
+    return pd.DataFrame({"salt": [lane % salts], "lane": [lane], "weight": [float(trainer.seen)], "total": [values.tobytes()]})
+
 
+def _teacher(*state):
+    return lambda pdf: _taught(*state, pdf)
 
-def _sum_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"block": pdf.block.iloc[:1], "salt": [0], "weight": [pdf.weight.sum()], "total": [np.sum(np.stack(pdf.total.tolist()), 0)]})
+
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("lane")
+    total = sum(np.frombuffer(t) for t in pdf.total)
+    return pd.DataFrame({"salt": pdf.salt.iloc[:1], "lane": pdf.lane.iloc[:1], "weight": [pdf.weight.sum()], "total": [total.tobytes()]})
+
+
+def plan(tokens_: int) -> tuple[int, int]:
+    """(steps, lanes) of a round over so many tokens."""
+    units = -(-tokens_ // UNIT)
+    steps = math.isqrt(max(units - 1, 0)) + 1
+    return steps, max(1, -(-units // steps))
 
 
 def train(texts: DataFrame, vocab: Vocabulary) -> Parameters:
     """``texts``: (key, text) of the training rows."""
     p = Parameters.initial(vocab.class_count)
-    for _ in range(ROUNDS if vocab.total else 0):
-        start = p
-        sums = texts.mapInArrow(lambda it, start=start: _trained(start, vocab, it), SUMS)
-        for keys in (["block", "salt"], ["block"]):
-            sums = sums.groupBy(*keys).applyInPandas(_sum_blocks, SUMS)
-        rows = sorted(sums.collect(), key=lambda r: r.block)
-        if rows:
-            p = p.filled(np.concatenate([np.array(r.total) / r.weight for r in rows]))
+    if not vocab.total:
+        return p
+    spark, share, past = texts.sparkSession, vocab.class_count, p.unmoved()
+    steps, lanes = plan(vocab.total)
+    salts = math.isqrt(lanes - 1) + 1
+    folder = scratch_path(spark, "lm-units")
+    dealt = texts.select(F.xxhash64("key", "text").alias("place"), "text").mapInArrow(
+        lambda it: _dealt(vocab, steps, lanes, it), "step int, lane int, place long, classes binary"
+    )
+    # A step is a few files.
+    dealt.repartition("step", F.pmod("lane", F.lit(8))).write.partitionBy("step").parquet(folder)
+    units = spark.read.schema("lane int, place long, classes binary, step int").parquet(folder)
+    for turn in range(ROUNDS * steps):
+        rows = units.filter(F.col("step") == turn % steps).drop("step").repartition(lanes, "lane")
+        sums = rows.groupBy("lane").applyInPandas(_teacher(p, past, share, turn, salts), SUMS)
+        got = sorted(sums.groupBy("salt").applyInPandas(_summed, SUMS).collect(), key=lambda r: r.salt)
+        if got:
+            mean = sum(np.frombuffer(r.total) for r in got) / sum(r.weight for r in got)
+            p, past = p.filled(mean[: len(mean) // 2]), past.filled(mean[len(mean) // 2 :])
     return p
 
 
