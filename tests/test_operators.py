@@ -357,6 +357,14 @@ def test_split_oversize_parts(spark):
     assert {(r.id, r.part) for r in out} == {(r.id, r.part) for r in same}
 
 
+def test_split_oversize_is_the_same_in_one_task_and_over_all(spark, monkeypatch):
+    x, _ = vectors(4, 90, groups=6, spread=0.1)
+    df = spark.createDataFrame([(i % 9 // 8, i, [float(v) for v in r]) for i, r in enumerate(x)], "g long, id long, v array<double>")
+    monkeypatch.setattr(C, "KMEANS_BLOCK", 8)
+    one, over_all = ({(r.g, r.id, r.part) for r in C.split_oversize(df, "g", "id", "v", task_rows=n).collect()} for n in (1000, 20))
+    assert len(one) == 90 and one == over_all
+
+
 def test_greedy_merge_clusters_equals_the_loop(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(12)]
