@@ -16,6 +16,7 @@ from voxlode.operators import joins as J
 from voxlode.operators import ranking as R
 from voxlode.operators import similarity as S
 from voxlode.operators.graph import connected_components, first_leaders
+from voxlode.plans import queries_clustering
 
 
 def vectors(seed, n, dims=8, groups=10, spread=0.35):
@@ -365,6 +366,19 @@ def test_split_oversize_is_the_same_in_one_task_and_over_all(spark, monkeypatch)
     assert len(one) == 90 and one == over_all
 
 
+def test_similar_pairs_by_takes_any_ids(spark, tmp_path):
+    """Given ids beyond a million and two, some of which equal others but for millions; two given vectors are equal."""
+    x, u = vectors(5, 40, groups=4, spread=0.4)
+    x[7], u[7] = x[3], u[3]
+    ids = [(i % 4) * 1_000_000 + i // 4 * 10 for i in range(40)]
+    given = [(v, [float(c) for c in r], n % 2) for n, (v, r) in enumerate(zip(ids, x))]
+    spark.createDataFrame(given, "vec_id long, embedding array<double>, label long").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [(r.i, r.j) for r in queries_clustering.similar_pairs_by(spark, str(tmp_path)).collect()]
+    rows = [(v, n) for n, v in enumerate(ids)] + [(v + 4_000_000, n) for n, v in enumerate(ids)]  # all ids are whole tens
+    want = {(a, b) for a, i in rows for b, j in rows if a < b and i % 2 == j % 2 and (i == j or u[i] @ u[j] >= 0.3)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_greedy_merge_clusters_equals_the_loop(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(12)]

@@ -38,9 +38,12 @@ UNION ALL SELECT vec_id + 2000000, [0.0::DOUBLE for x in embedding], label FROM
 
 
 def _mixed(spark, d):
+    """The given vectors, copies and zero vectors; the ids of the latter are shifted by whole millions beyond all given ids."""
     v = _vec(spark, d).withColumn("embedding", F.col("embedding").cast("array<double>"))
-    copies = v.filter("vec_id % 10 = 0").withColumn("vec_id", F.col("vec_id") + 1_000_000)
-    zeros = v.filter("vec_id % 50 = 0").select(F.col("vec_id") + 2_000_000, F.transform("embedding", lambda x: F.lit(0.0)), "label")
+    low, high = v.agg(F.coalesce(F.min("vec_id"), F.lit(0)), F.coalesce(F.max("vec_id"), F.lit(0))).first()
+    shift = ((high - min(low, 0)) // 1_000_000 + 1) * 1_000_000
+    copies = v.filter("vec_id % 10 = 0").withColumn("vec_id", F.col("vec_id") + shift)
+    zeros = v.filter("vec_id % 50 = 0").select(F.col("vec_id") + 2 * shift, F.transform("embedding", lambda x: F.lit(0.0)), "label")
     return v.unionByName(copies).union(zeros)
 
 
@@ -52,14 +55,14 @@ def similar_pairs_by(spark, d):
     """All pairs inside a label, from the pairs of distinct vectors and the copies of each."""
     rows = _mixed(spark, d)
     pairs = S.similar_pairs(rows, "vec_id", "embedding", 0.3, by="label").withColumn("sim", F.round("sim", 6))
-    member = rows.select("vec_id", (F.col("vec_id") % 1_000_000).alias("rep"))
-    apart = pairs.filter("i % 1000000 <> j % 1000000")
-    full = (
-        apart.join(member.select(F.col("vec_id").alias("a"), F.col("rep").alias("i")).filter("a < 2000000"), "i")
-        .join(member.select(F.col("vec_id").alias("b"), F.col("rep").alias("j")).filter("b < 2000000"), "j")
-        .select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "sim")
-    )
-    return full.unionByName(pairs.filter("i % 1000000 = j % 1000000"))
+    units = rows.select("vec_id", S.unit("embedding").alias("_u"), S.scope("label")).filter(S.directed("_u"))
+    _, copies = S.collapse_copies(units, "vec_id", "_u")
+    apart = pairs.join(copies.select(F.col("copy").alias("j")), "j", "left_anti")
+    member = units.select(F.col("vec_id").alias("copy")).join(copies, "copy", "left").select("copy", F.coalesce("rep", "copy").alias("rep"))
+    a, b = (member.select(F.col("copy").alias(x), F.col("rep").alias(y)) for x, y in (("a", "i"), ("b", "j")))
+    full = apart.join(a, "i").join(b, "j").select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "sim")
+    same = a.join(b.withColumnRenamed("j", "i"), "i").filter("a < b")
+    return full.unionByName(same.select(F.col("a").alias("i"), F.col("b").alias("j"), F.lit(1.0).alias("sim")))
 
 
 @query("nearest_match_by", "F8", f"""
