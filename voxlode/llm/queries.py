@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from . import bpe, decontam, divergence, idfile, lm, ngram_join, sharding, suffix_dedup, toxicity, warc
+from ..session import scratch_path, ship
+from . import bpe, decontam, divergence, idfile, lm, ngram_join, sharding, suffix_dedup, toxicity, vector_codes, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -17,10 +18,15 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
     def wrap(fn: Runner) -> Runner:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE_SQL[name] = sql
-        return fn
+        return run
 
     return wrap
 
@@ -120,3 +126,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of the held-out fifth are not read."""
     scored = toxicity.score(given(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return scored.select("doc_id", (toxicity.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op13_vector_codes", vector_codes.ORACLE)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector: 8 parts, 16 entries, 6 rounds."""
+    codes = vector_codes.compress(given(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).drop("label")
