@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship
-from . import bpe, decontam, divergence, idfile, lm, ngram_join, sharding, suffix_dedup, toxicity, vector_codes, warc
+from . import bpe, decontam, divergence, idfile, lm, ngram_join, phrases, sharding, suffix_dedup, toxicity, vector_codes, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -128,6 +128,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (toxicity.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query("op11_phrases", phrases.ORACLE.format(least=30, top=2000))
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of two to four words of every language."""
+    return phrases.collocations(*phrases.count_phrases(given(spark, sf_dir, "documents")))
+
+
 @query("op13_vector_codes", vector_codes.ORACLE)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every vector: 8 parts, 16 entries, 6 rounds."""
