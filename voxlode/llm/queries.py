@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship
-from . import bpe, decontam, divergence, idfile, lm, ngram_join, phrases, sharding, suffix_dedup, toxicity, vector_codes, warc
+from . import bpe, decontam, divergence, idfile, licenses, lm, ngram_join, phrases, sharding, suffix_dedup, toxicity, vector_codes, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -134,6 +134,12 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(*phrases.count_phrases(given(spark, sf_dir, "documents")))
 
 
+@query("op12_licenses", licenses.ORACLE)
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts of every document."""
+    return licenses.scan(given(spark, sf_dir, "documents"))
+
+
 @query("op13_vector_codes", vector_codes.ORACLE)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every vector: 8 parts, 16 entries, 6 rounds."""
