@@ -329,9 +329,28 @@ def test_keep_one(docs):
     assert 9 not in {r.doc_id for r in out.collect()} and docs.filter("doc_id = 9").count() == 1
 
 
+def test_keep_one_judges_rows(spark):
+    """A clean text stays though its id has a near copy elsewhere; repeated rows and copies with null ids leave one."""
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, say(0)), (5, say(0)), (5, say(1)), (9, say(2)), (9, say(2)), (None, say(0)), (None, say(3)), (None, say(3)), (7, None), (7, None), (8, " "), (11, say(4))]
+    got = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter(tuple(r) for r in got.collect()) == Counter([(1, say(0)), (5, say(1)), (9, say(2)), (None, say(3)), (7, None), (7, None), (8, " "), (11, say(4))])
+
+
 # ---- 8 ------------------------------------------------------------------------------------------------------------
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    """A labelled id repeated beyond the bound, with equal and with different texts."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 400)
+    docs = spark.range(3000).selectExpr("if(id < 1000, 1, id) AS doc_id", "if(id < 500, 'same text', concat('text ', id)) AS text")
+    labels = spark.range(1, 2000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    sample, _ = toxicity.labelled_sample(docs, labels, F.lit(True), "doc_id", "text", "toxic")
+    for r in sample.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect():
+        assert 0 < r.n <= 20 and r["size"] <= 400
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = queries.given(spark, sf, "documents"), queries.given(spark, sf, "labels")

@@ -81,19 +81,19 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _nodes(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(1 << BUCKET_BITS, np.uint32)
-    names = ["kind", "doc", "n", "node", "part", "counts"]
+    names = ["kind", "doc", "mark", "n", "node", "part", "counts"]
     for rows in slices(batches):
         sets = shingle_sets(text_bytes(rows.column(1)), width)
         if sets:
             count += np.bincount(bucket(np.concatenate(sets)), minlength=len(count)).astype(np.uint32)
         m = len(sets)
-        cols = [pa.array(np.zeros(m, np.int32)), rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())]
+        cols = [pa.array(np.zeros(m, np.int32)), rows.column(0), rows.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())]
         yield pa.RecordBatch.from_arrays([*cols, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
     kind = None
     for part, piece in enumerate(count.reshape(-1, 1 << SLICE_BITS)):
         if piece.any():
             kind = kind or pa.int64()
-            row = [pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())]
+            row = [pa.array([1], pa.int32()), *(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())]
             yield pa.RecordBatch.from_arrays(row, names)
 
 
@@ -271,15 +271,15 @@ def labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(parts, "node", "left").withColumn("component", F.coalesce("joined", "node")).drop("joined")
 
 
-def components(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of every document; component_id is the smallest key that links reach."""
+def linked(df: DataFrame, percent: int, width: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((doc, mark, n, node) of every row, (node, component, least) of every set with shingles); mark is the hash of the text."""
     spark = df.sparkSession
-    docs = df.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).alias("doc"), F.col(text).alias("text"), mark_of(text).alias("mark"))
     parts = max(shuffle_width(spark), 16)
     folder = scratch_path(spark, "ngram-nodes")
-    docs.mapInArrow(lambda it: _nodes(width, it), "kind int, doc long, n long, node long, part int, counts binary").write.partitionBy("kind").parquet(folder)
-    stored = spark.read.schema("doc long, n long, node long, part int, counts binary, kind int").parquet(folder)
-    nodes = stored.filter("kind = 0").select("doc", "n", "node")
+    docs.mapInArrow(lambda it: _nodes(width, it), "kind int, doc long, mark long, n long, node long, part int, counts binary").write.partitionBy("kind").parquet(folder)
+    stored = spark.read.schema("doc long, mark long, n long, node long, part int, counts binary, kind int").parquet(folder)
+    nodes = stored.filter("kind = 0").select("doc", "mark", "n", "node")
     # One class byte for each of 2 ** BUCKET_BITS buckets, whatever the size of the corpus.
     sketch = np.zeros(1 << BUCKET_BITS, np.uint8)
     for r in stored.filter("kind = 1").groupBy("part").applyInPandas(_add_counts, "part int, classes binary").collect():
@@ -328,17 +328,38 @@ def components(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc
     edges = edges.unionByName(verified(rest, sets, percent))
 
     of_node = nodes.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"))
-    named = labelled(of_node, edges)
+    return nodes, labelled(of_node, edges)
+
+
+def components(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id) of every document; component_id is the smallest key that links reach."""
+    nodes, named = linked(df, percent, width, key, text)
     low = named.groupBy("component").agg(F.min("least").alias("component_id"))
     found = named.join(low, "component").select("node", "component_id")
     out = nodes.join(found.withColumn("some", F.lit(True)), (nodes["node"] == found["node"]) & (nodes["n"] > 0), "left")
     return out.select(nodes["doc"].alias(key), nodes["n"].alias("n_shingles"), F.when(F.col("some"), F.col("component_id")).otherwise(nodes["doc"]).alias("component_id"))
 
 
+def mark_of(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def keep_one(df: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without those that a chain of links ties to one with a smaller id; all columns stay.
+    """One row of each component stays, with all its columns: that with the smallest id (null ids last), then the smallest hash of its text.
 
-    Of rows with equal ids each is judged like the others.
+    Rows are judged by id and text together, so a row isn't dropped because another text has its id, and repeated rows leave one.  Rows without words
+    stay as they are.
     """
-    found = components(df, percent, width, key, text).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_later")).distinct()
-    return df.join(found, df[key] == found["_later"], "left_anti")
+    nodes, named = linked(df, percent, width, key, text)
+    kinds = nodes.filter("n > 0").groupBy("doc", "mark", "node").agg(F.count(F.lit(1)).alias("times")).join(named.select("node", "component"), "node")
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")
+    first = kinds.groupBy("component").agg(F.min(place).alias("first"))
+    told = cut(kinds.join(first, "component").select("doc", "mark", (F.col("first") == place).alias("stays"), (F.col("times") > 1).alias("again")))
+    names = df.columns
+    rows = df.toDF(*(f"x{i}" for i in range(len(names))))
+    own, body = f"x{names.index(key)}", f"x{names.index(text)}"
+    rows = rows.withColumn("own_mark", mark_of(body))
+    same = lambda t: rows[own].eqNullSafe(t["doc"]) & (rows["own_mark"] == t["mark"])
+    moved, again = told.filter("NOT stays OR again"), told.filter("stays AND again")
+    out = rows.join(moved, same(moved), "left_anti").unionByName(rows.join(again, same(again), "left_semi").dropDuplicates([own, "own_mark"]))
+    return out.select(*(F.col(f"x{i}").alias(n) for i, n in enumerate(names)))

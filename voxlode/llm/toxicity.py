@@ -152,22 +152,27 @@ def insult_model() -> Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, key: str, text: str, label: str) -> tuple[DataFrame, dict[int, int]]:
-    """((label, text) rows of the bounded sample as a written table, number of labels of each class)."""
+    """((label, text) rows of the bounded sample as a written table, number of labels of each class).
+
+    Rows are chosen by id and text: an id with many texts takes no more room than many ids, and repeated rows count once.
+    """
     spark = docs.sparkSession
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).filter(train).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     totals = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     chosen = []
+    mark = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
     for k in (0, 1):
         ids = marked.filter(F.col("label") == k).orderBy(F.xxhash64(key), key).limit(SAMPLE).select(F.col(key).alias("id"))
-        sized = docs.join(F.broadcast(ids), docs[key] == ids["id"]).select("id", F.coalesce(F.octet_length(text), F.lit(0)).alias("size"))
+        sized = docs.join(F.broadcast(ids), docs[key] == ids["id"]).select("id", F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), mark.alias("mark")).distinct()
         room = SAMPLE_BYTES
-        for r in sized.orderBy(F.xxhash64("id"), "id", "size").limit(SAMPLE).collect():
+        for r in sized.orderBy(F.xxhash64("id"), "id", "size", "mark").limit(SAMPLE).collect():
             if r["size"] <= room:
                 room -= r["size"]
-                chosen.append((r["id"], k))
-    few = spark.createDataFrame(sorted(set(chosen)), f"id {docs.schema[key].dataType.simpleString()}, label int")
+                chosen.append((r["id"], r["mark"], k))
+    few = spark.createDataFrame(sorted(chosen), f"id {docs.schema[key].dataType.simpleString()}, mark long, label int")
     folder = scratch_path(spark, "toxicity-sample")
-    docs.join(F.broadcast(few), docs[key] == few["id"]).select("label", F.col(text).alias("text")).write.parquet(folder)
+    rows = docs.join(F.broadcast(few), (docs[key] == few["id"]) & (mark == few["mark"])).select("id", "mark", "label", F.col(text).alias("text"))
+    rows.dropDuplicates(["id", "mark"]).select("label", "text").write.parquet(folder)
     return spark.read.schema("label int, text string").parquet(folder), totals
 
 
