@@ -20,6 +20,7 @@ MODULES = [
     "queries_sources",
     "queries_serving",
     "need_mining",
+    "consolidation",
 ]
 
 
