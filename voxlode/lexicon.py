@@ -1,7 +1,7 @@
 """Rule tables.  A lexicon is an ordered list of :class:`Rule`, supplied by the caller.
 
-Rules are compiled into Column expressions over the text, so tagging is a projection: no join
-with the rule table, no shuffle, and no row is multiplied before its rules are known to match.
+Rules that yield one value per text are compiled into Column expressions.  Those that yield rows per rule look all words up at once
+(``operators/lexicon_scan.py``): tagging needs no join with the rule table and no shuffle, and no row is multiplied before its rules match.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES = 2000
+#: Bytes of words and patterns that the driver takes; a lexicon is configuration, whatever the number of its rules.
+MAX_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -33,12 +34,11 @@ class Rule:
 def rules_from_table(lexicon: DataFrame) -> list[Rule]:
     """Read rules from a long table ``(rule_id, ord, label, category, kind, term)``.
 
-    ``kind`` is keyword, pattern, exclude, context or relevance.  A lexicon is configuration: its
-    size is checked before it reaches the driver.
+    ``kind`` is keyword, pattern, exclude, context or relevance.  Its size is checked before it reaches the driver.
     """
-    n = lexicon.select("rule_id").distinct().limit(MAX_RULES + 1).count()
-    if n > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: pass the lexicon in parts")
+    size = lexicon.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
+    if size > MAX_BYTES:
+        raise ValueError(f"more than {MAX_BYTES} bytes of terms: pass the lexicon in parts")
     rows = (
         lexicon.groupBy("rule_id")
         .agg(

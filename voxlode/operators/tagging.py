@@ -9,27 +9,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.text import any_of, col, count_occurrences, count_present, has_any
 from ..lexicon import Rule
+from .lexicon_scan import Found, lookup, parts_of, scan
 
 
 def _alternation(patterns: Sequence[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 
 
-def _some(s: Column, r: Rule) -> Column:
-    hit = F.lit(False)
-    if r.keywords:
-        hit = hit | has_any(s, r.keywords)
-    if r.patterns:
-        hit = hit | s.rlike(_alternation(r.patterns))
-    return hit
-
-
 def tag_first(c: Column | str, rules: Sequence[Rule], category: Column | str | None = None) -> Column:
     """Label of the first rule with a keyword in the lower-cased text.
 
@@ -52,45 +46,21 @@ def tag_all(c: Column | str, rules: Sequence[Rule]) -> Column:
     return F.filter(F.array(*tags), lambda t: t.isNotNull())
 
 
-_LOW = "_low"
-
-
-def _lowered(df: DataFrame, text: str) -> DataFrame:
-    """Adds the lower-cased text once; the many rule expressions refer to it."""
-    return df.withColumn(_LOW, F.lower(F.col(text)))
-
-
-def _explode_rules(df: DataFrame, columns: Sequence[str], structs: Sequence[Column], keep: str) -> DataFrame:
-    """Rows of ``df`` times the structs, flattened, where ``keep`` holds.
-
-    Generate and filter run in one generated stage; a filter inside the array would be a
-    higher-order function and leave it.
-    """
-    return df.select(*columns, F.inline(F.array(*structs))).filter(keep)
-
-
 def match_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
     """One row per (text, rule) with a pattern or keyword hit and no excluded word.
 
     Adds ``rule_id``, ``rule_ord`` and ``relevance``, the number of relevance words present.
     """
-    s = F.col(text)
-    out = []
-    for i, r in enumerate(rules):
-        hit = _some(s, r)
-        if r.exclude:
-            hit = hit & ~has_any(s, r.exclude)
-        out.append(
-            F.when(
-                hit,
-                F.struct(
-                    F.lit(r.rule_id).alias("rule_id"),
-                    F.lit(i).alias("rule_ord"),
-                    count_present(s, r.relevance).alias("relevance"),
-                ),
-            )
-        )
-    return _explode_rules(df, df.columns, out, "rule_id is not null")
+    ids = np.array([r.rule_id for r in rules], object)
+
+    def judge(found: Found, rows: pa.RecordBatch, first: int) -> tuple[np.ndarray, list[pa.Array]]:
+        hit = np.union1d(found.codes("keywords")[0], found.matched())
+        hit = np.setdiff1d(hit, found.codes("exclude")[0], assume_unique=True)
+        code, n, _ = found.codes("relevance")
+        rule = hit % found.lexicon.n + first
+        return hit // found.lexicon.n, [pa.array(ids[rule], pa.string()), pa.array(rule, pa.int32()), pa.array(lookup(code, n, hit), pa.int32())]
+
+    return scan(df, F.col(text), rules, "rule_id string, rule_ord int, relevance int", judge)
 
 
 def tag_best(c: Column | str, rules: Sequence[Rule]) -> Column:
@@ -108,16 +78,47 @@ def tag_best(c: Column | str, rules: Sequence[Rule]) -> Column:
     return F.when(best.isNotNull(), F.struct(best["label"].alias("label"), (-best["neg"]).alias("hits")))
 
 
+def best_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
+    """Rows of ``df`` with ``label`` and ``hits`` of the rule with most keywords present, as :func:`tag_best` but for lexicons of any size.
+
+    Texts without any keyword have nulls.
+    """
+    from ..session import cut
+
+    labels = np.array([r.label or r.rule_id for r in rules], object)
+
+    def judge(found: Found, rows: pa.RecordBatch, first: int) -> tuple[np.ndarray, list[pa.Array]]:
+        code, n, _ = found.codes("keywords")
+        t, rule = code // found.lexicon.n, code % found.lexicon.n
+        order = np.lexsort((rule, -n, t))
+        order = order[np.concatenate(([True], t[order][1:] != t[order][:-1]))] if len(order) else order
+        rest = np.setdiff1d(np.arange(len(found.texts)), t)
+        at = np.concatenate((t[order], rest))
+        name = np.concatenate((labels[rule[order] + first], np.full(len(rest), None, object)))
+        hits = pa.array([*n[order].tolist(), *[None] * len(rest)], pa.int32())
+        return at, [pa.array(name, pa.string()), hits, pa.array([*(rule[order] + first).tolist(), *[None] * len(rest)], pa.int32())]
+
+    plain = df.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    out = scan(plain, F.lower(F.col(text)), rules, "label string, hits int, best_ord int", judge, lower=True)
+    if len(list(parts_of(rules))) > 1:  # each part has a best rule for each row
+        key = F.struct(F.coalesce(-F.col("hits"), F.lit(0)).alias("n"), F.coalesce("best_ord", F.lit(0)).alias("o"))
+        names = df.columns
+        out = cut(out.groupBy(*names).agg(F.min_by(F.struct("label", "hits", "best_ord"), key).alias("_b"))).select(*names, "_b.*")
+    return out.drop("best_ord")
+
+
 def score_rules(df: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
     """One row per (text, rule) with a positive score: one per keyword, two per pattern."""
-    low = F.col(_LOW)
-    out = []
-    for r in rules:
-        score = count_present(low, [k.lower() for k in r.keywords])
-        for p in r.patterns:
-            score = score + F.when(low.rlike(p), 2).otherwise(0)
-        out.append(F.struct(F.lit(r.label or r.rule_id).alias("label"), score.alias("score")))
-    return _explode_rules(_lowered(df, text), df.columns, out, "score > 0")
+    labels = np.array([r.label or r.rule_id for r in rules], object)
+
+    def judge(found: Found, rows: pa.RecordBatch, first: int) -> tuple[np.ndarray, list[pa.Array]]:
+        words, n, _ = found.codes("keywords")
+        shapes, m = np.unique(found.matched(), return_counts=True)
+        code = np.union1d(words, shapes)
+        score = lookup(words, n, code) + 2 * lookup(shapes, m, code)
+        return code // found.lexicon.n, [pa.array(labels[code % found.lexicon.n + first], pa.string()), pa.array(score, pa.int32())]
+
+    return scan(df, F.lower(F.col(text)), rules, "label string, score int", judge, lower=True)
 
 
 def lexicon_sentiment(c: Column | str, positive: Sequence[str], negative: Sequence[str]) -> Column:
@@ -165,26 +166,35 @@ def relevance_score(c: Column | str, rule: Rule, words: RelevanceWords, lowered:
 def relevant_rules(
     df: DataFrame, text: str, rules: Sequence[Rule], words: RelevanceWords, threshold: float = 3.0
 ) -> DataFrame:
-    """One row per (text, rule) with a keyword hit and a relevance of at least ``threshold``."""
-    s, low = F.col(text), F.col(_LOW)
-    out = [
-        # The keyword test is the cheap gate: the score is computed behind it.
-        F.when(
-            has_any(low, [k.lower() for k in r.keywords]),
-            F.struct(F.lit(r.rule_id).alias("rule_id"), relevance_score(s, r, words, low).alias("relevance_score")),
-        )
-        for r in rules
-    ]
-    staged = _lowered(df.filter(F.length(s) >= 10), text)
-    return _explode_rules(staged, df.columns, out, f"relevance_score >= {float(threshold)}")
+    """One row per (text, rule) with a keyword hit and a relevance of at least ``threshold``, by :func:`relevance_score`."""
+    ids = np.array([r.rule_id for r in rules], object)
+    needs_context = np.array([bool(r.context) for r in rules], bool)
+
+    def judge(found: Found, rows: pa.RecordBatch, first: int) -> tuple[np.ndarray, list[pa.Array]]:
+        code, present, times = found.codes("keywords")
+        at, rule = code // found.lexicon.n, code % found.lexicon.n + first
+        n = np.asarray(rows.column(rows.num_columns - 1))[at]
+        score = present * 2.0 + np.where(n > 10, np.minimum(times / (n / 50.0) * 2, 4.0), 0.0)
+        score = score + found.flagged("negative")[at] * 1.0 + found.flagged("scenario")[at] * 1.5 + np.where((n >= 20) & (n <= 200), 1.0, 0.0) - found.flagged("positive")[at] * 2.0
+        context = found.codes("context")[0]
+        score = np.where(needs_context[rule] & ~np.isin(code, context), 0.0, np.maximum(score, 0.0))
+        ok = score >= threshold
+        return at[ok], [pa.array(ids[rule[ok]], pa.string()), pa.array(score[ok])]
+
+    long_enough = df.filter(F.length(text) >= 10)
+    shared = {"negative": words.negative, "scenario": words.scenario, "positive": words.positive}
+    return scan(long_enough, F.lower(F.col(text)), rules, "rule_id string, relevance_score double", judge, lower=True, shared=shared, measures=[F.length(text)])
 
 
 def keyword_hits(df: DataFrame, text: str, rating: str, rules: Sequence[Rule], max_rating: int = 3) -> DataFrame:
     """Low-rated texts per rule with the number of its keywords present."""
-    s = F.col(text)
-    out = [F.struct(F.lit(r.rule_id).alias("rule_id"), count_present(s, r.keywords).alias("hits")) for r in rules]
-    low = df.filter(F.coalesce(F.col(rating), F.lit(5)) <= max_rating)
-    return _explode_rules(low, df.columns, out, "hits > 0")
+    ids = np.array([r.rule_id for r in rules], object)
+
+    def judge(found: Found, rows: pa.RecordBatch, first: int) -> tuple[np.ndarray, list[pa.Array]]:
+        code, n, _ = found.codes("keywords")
+        return code // found.lexicon.n, [pa.array(ids[code % found.lexicon.n + first], pa.string()), pa.array(n, pa.int32())]
+
+    return scan(df.filter(F.coalesce(F.col(rating), F.lit(5)) <= max_rating), F.col(text), rules, "rule_id string, hits int", judge)
 
 
 def demand_tier(
@@ -333,7 +343,7 @@ def key_phrases(df: DataFrame, text: str, patterns: Sequence[tuple[str, int]], n
 
 
 __all__ = [
-    "RelevanceWords", "Scene", "any_of", "demand_tier", "explain_keywords", "intervention_type", "key_phrases",
+    "RelevanceWords", "Scene", "any_of", "best_rules", "demand_tier", "explain_keywords", "intervention_type", "key_phrases",
     "keyword_hits", "lexicon_sentiment", "match_rules", "phrases_of", "relevance_score", "relevant_rules",
     "score_rules", "summarize_by_scene", "tag_all", "tag_best", "tag_first",
 ]

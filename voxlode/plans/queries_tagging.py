@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..lexicon import rules_from_table
 from ..operators import tagging
 from ..sources.tables import COMMENTS_SQL, REVIEWS_SQL, comments, reviews, table
 from . import bindings as B
@@ -52,8 +54,7 @@ _HITS = ", ".join(
 SELECT doc_id, best.label AS label, CAST(-best.neg AS INTEGER) AS hits
 FROM (SELECT doc_id, list_min([x for x in [{_HITS}] if x.neg < 0]) AS best FROM documents)""")
 def tag_best(spark, d):
-    t = table(spark, d, "documents").select("doc_id", tagging.tag_best("text", B.RULES).alias("b"))
-    return t.select("doc_id", "b.label", "b.hits")
+    return tagging.best_rules(table(spark, d, "documents").select("doc_id", "text"), "text", B.RULES).drop("text")
 
 
 def _sql_score(r, i):
@@ -173,3 +174,24 @@ def explain_keywords(spark, d):
 ) + ") SELECT phrase, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY phrase ORDER BY n DESC, phrase LIMIT 20")
 def key_phrases(spark, d):
     return tagging.key_phrases(comments(spark, d), "content", B.PHRASE_PATTERNS)
+
+
+def _lexicon(spark, d):
+    """Rules of ten words each, from the words of the benchmark table."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).filter("length(term) >= 4").distinct()
+    place = F.row_number().over(W.orderBy("term")) - 1
+    return words.withColumn("n", place).select(
+        F.concat(F.lit("w"), F.floor(F.col("n") / 10).cast("string")).alias("rule_id"), F.floor(F.col("n") / 10).cast("int").alias("ord"), F.lit("").alias("label"), F.lit("").alias("category"),
+        F.when(F.col("n") % 10 == 9, "exclude").when(F.col("n") % 10 >= 7, "relevance").otherwise("keyword").alias("kind"), "term",
+    )
+
+
+@query("match_lexicon", "D3", """
+WITH t AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS n FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM benchmark) WHERE length(term) >= 4),
+h AS (SELECT doc_id, n // 10 AS ord, count(*) FILTER (n % 10 < 7) AS k, count(*) FILTER (n % 10 IN (7, 8)) AS r, count(*) FILTER (n % 10 = 9) AS x
+  FROM documents JOIN t ON contains(text, term) GROUP BY ALL)
+SELECT doc_id, 'w' || ord AS rule_id, CAST(ord AS INTEGER) AS rule_ord, CAST(r AS INTEGER) AS relevance FROM h WHERE k > 0 AND x = 0""")
+def match_lexicon(spark, d):
+    """A lexicon that is a table, however many rules it has."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return tagging.match_rules(docs, "text", rules_from_table(_lexicon(spark, d))).drop("text")
