@@ -1,23 +1,27 @@
 """Exact cosine similarity joins over dense vectors.
 
-Pairs are found by metric partitioning.  A bounded number of pivot vectors cuts the sphere into
-cells; angles obey the triangle inequality, so a row has to visit a foreign cell only when
+Rows are placed in a tree of cells.  A cell with more rows than a block is split around a few of its own rows, its pivots; every row goes to the
+nearest one, and so on level by level until cells fit a block.  A node knows its pivot and its radius, the largest angle of a row
+below it.  Rows then go down the tree: angles obey the triangle inequality, so a row has to enter a foreign cell only when
 
-* its angle to that pivot exceeds its angle to its own pivot by at most twice the threshold angle, and
+* its angle to that pivot exceeds the least angle to a pivot beside it by at most twice the threshold angle, and
 * its angle to that pivot is at most the threshold angle plus the radius of the cell.
 
-Rows meet inside cells only.  A crowded cell is cut into blocks of bounded size and every block pair
-is its own task, so no task grows with the data.  Nothing is approximated.
+Rows meet inside leaves only.  The tree is a table: its size doesn't matter to the driver, and its depth grows with the logarithm of the rows.
+A leaf that can't be split is cut into blocks of bounded size and every block pair is its own task, so no task grows with
+the data.  Nothing is approximated.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +29,8 @@ from ..functions.text import col, let
 from ..session import cut
 
 BLOCK = 2048  # rows of one side of a task
-MAX_PIVOTS = 512
+FAN = 16  # pivots of a cell that is split
+DEEPEST = 14  # levels; cell numbers stay below 2^63
 _EPS = 1e-6
 _DIGITS = 12
 
@@ -67,14 +72,6 @@ def collapse_copies(rows: DataFrame, row_id: str, vec: str) -> tuple[DataFrame,
     return reps.select(row_id, vec, "copies", "_by"), copies
 
 
-def _pivots(rows: DataFrame, row_id: str, vec: str) -> np.ndarray:
-    """A spread of at most MAX_PIVOTS vectors; the driver holds no more than these."""
-    n = rows.count()
-    p = int(min(MAX_PIVOTS, max(1, math.ceil(n / (4 * BLOCK)))))
-    picked = rows.orderBy(F.xxhash64(row_id), row_id).select(vec).limit(p).collect()
-    return np.array([r[0] for r in picked], dtype=np.float64).reshape(len(picked), len(picked[0][0]) if picked else 0)
-
-
 def _angles(block: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(block, axis=1, keepdims=True)
     norm[norm == 0] = 1.0
@@ -92,90 +89,121 @@ def _filler(df: DataFrame, c: str) -> Column:
     return F.lit("" if isinstance(t, T.StringType) else 0).cast(t)
 
 
-def _home_cells(rows: DataFrame, row_id: str, vec: str, pivots: np.ndarray) -> dict[int, float]:
-    """Radius of each non-empty cell: one number per pivot."""
-    if len(pivots) == 1:
-        return {0: math.pi}
+@dataclass(frozen=True)
+class Tree:
+    """homes: rows with ``home``, their leaf; children (None without any split): per split cell ``at`` its child cells with pivot, radius and whether they are split."""
 
-    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                a = _angles(np.stack(pdf[vec].to_numpy()).astype(np.float64), pivots)
-                h = a.argmin(axis=1)
-                yield pd.DataFrame({"cell": h.astype(np.int32), "r": a[np.arange(len(h)), h]})
-
-    found = rows.select(vec).mapInPandas(homes, "cell int, r double").groupBy("cell").agg(F.max("r").alias("r"))
-    return {r.cell: r.r for r in found.collect()}
-
-
-def _visits(
-    rows: DataFrame,
-    row_id: str,
-    vec: str,
-    pivots: np.ndarray,
-    radius: dict[int, float],
-    theta: float,
-    mode: str,
-) -> DataFrame:
-    """Rows with the cells they visit.
+    homes: DataFrame
+    children: DataFrame | None
+    levels: int
 
-    ``self``: home row (side 0) in its own cell, visitor (side 1) in reachable cells of lower number.
-    ``home``: side 0 in its own cell only.  ``probe``: side 1 in every reachable cell.
-    """
-    if len(pivots) == 1:
-        # A single cell needs no angles.  Its number is computed, so that the join on it keeps a key.
-        cell = F.pmod(F.xxhash64(row_id), F.lit(1)).cast("int")
-        return rows.select(row_id, vec, "_by", cell.alias("cell"), F.lit(1 if mode == "probe" else 0).alias("side"))
-    reach = np.array([radius.get(i, -np.inf) for i in range(len(pivots))]) + theta + _EPS
+
+def grow(rows: DataFrame, row_id: str, vec: str, block: int | None = None, fan: int | None = None) -> Tree:
+    """The tree over ``rows`` (row_id, vec, _by); every ``_by`` has a tree of its own."""
+    block, fan = block or BLOCK, fan or FAN
+    # The root's number is computed, so that joins on it keep a key.
+    rows = rows.select(row_id, vec, "_by", F.pmod(F.xxhash64(row_id), F.lit(1)).cast("long").alias("home"), F.lit(-1).cast("long").alias("_was"))
+    homes, nodes, levels = None, None, 0
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("home", T.LongType()), T.StructField("_was", T.LongType()), T.StructField("angle", T.DoubleType())])
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
-                continue
-            a = _angles(np.stack(pdf[vec].to_numpy()).astype(np.float64), pivots)
-            h = a.argmin(axis=1)
-            own = a[np.arange(len(h)), h]
-            parts = []
-            if mode in ("self", "home"):
-                parts.append((np.arange(len(h)), h, np.zeros(len(h), dtype=np.int32)))
-            if mode in ("self", "probe"):
-                near = ((a - own[:, None]) / 2 <= theta + _EPS) & (a <= reach[None, :])
-                if mode == "self":
-                    near &= np.arange(len(pivots))[None, :] < h[:, None]
+            for _, part in pdf.groupby(["_by", "home"], dropna=False):
+                a = _angles(np.stack(part[vec].to_numpy()).astype(np.float64), _matrix(part["pivots"].iloc[0]))
+                j = a.argmin(axis=1)
+                yield pd.DataFrame({row_id: part[row_id], vec: part[vec], "_by": part["_by"], "home": part["home"] * fan + j + 1, "_was": part["_n"], "angle": a[np.arange(len(j)), j]})
+
+    while levels < DEEPEST:
+        sizes = rows.groupBy("_by", "home").agg(F.count(F.lit(1)).alias("_n"), F.max("_was").alias("_w"))
+        # A cell that its pivots could not divide stays whole.
+        big = sizes.filter((F.col("_n") > block) & (F.col("_n") != F.col("_w"))).select("_by", "home", "_n")
+        if levels == 0 and big.isEmpty():
+            break
+        big = cut(big)
+        if big.isEmpty():
+            break
+        first = W.partitionBy("_by", "home").orderBy(F.xxhash64(row_id), row_id)
+        chosen = rows.join(big, ["_by", "home"]).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= fan)
+        packed = cut(chosen.groupBy("_by", "home", "_n").agg(F.array_sort(F.collect_list(F.struct("_r", vec))).alias("_p")).select("_by", "home", "_n", F.transform("_p", lambda e: e[vec]).alias("pivots")))
+        done = rows.join(big, ["_by", "home"], "left_anti").select(row_id, vec, "_by", "home")
+        homes = done if homes is None else homes.unionByName(done)
+        rows = cut(rows.drop("_was").join(packed, ["_by", "home"]).select(row_id, vec, "_by", "home", "_n", "pivots").mapInPandas(assign, schema))
+        radius = rows.groupBy("_by", "home").agg(F.max("angle").alias("radius"))
+        pivot = packed.select("_by", F.col("home").alias("at"), F.posexplode("pivots").alias("_j", "pivot")).withColumn("home", F.col("at") * fan + F.col("_j") + 1)
+        found = pivot.join(radius, ["_by", "home"]).select("_by", "at", F.col("home").alias("cell"), "pivot", "radius")
+        nodes = found if nodes is None else nodes.unionByName(found)
+        rows, levels = rows.drop("angle"), levels + 1
+    left = rows.select(row_id, vec, "_by", "home")
+    homes = left if homes is None else homes.unionByName(left)
+    if nodes is None:
+        return Tree(homes, None, 0)
+    split = nodes.select("_by", F.col("at").alias("cell"), F.lit(True).alias("split")).distinct()
+    child = F.struct("cell", "pivot", "radius", F.coalesce("split", F.lit(False)).alias("split"))
+    children = nodes.join(split, ["_by", "cell"], "left").groupBy("_by", "at").agg(F.array_sort(F.collect_list(child)).alias("children"))
+    return Tree(homes, cut(children), levels)
+
+
+def _matrix(vectors) -> np.ndarray:
+    return np.stack([np.asarray(v, np.float64) for v in vectors])
+
+
+def visits_of(tree: Tree, probes: DataFrame, row_id: str, vec: str, theta: float, mine: bool) -> DataFrame:
+    """(row_id, vec, _by, cell, side 1) for every leaf that a probe must enter.
+
+    ``mine``: probes are rows of the tree with ``home``, and enter leaves of lower number than their own only, so that each pair of leaves is entered once.
+    """
+    probes = probes.select(row_id, vec, "_by", F.col("home") if mine else F.lit(None).cast("long").alias("home"), F.pmod(F.xxhash64(row_id), F.lit(1)).cast("long").alias("at"))
+    if tree.children is None:
+        found = probes.withColumnRenamed("at", "cell")
+        return found.select(row_id, vec, "_by", "cell", F.lit(1).alias("side")).filter(F.lit(not mine))
+    # Where a tree was not split, its root is the leaf.
+    roots = tree.children.filter("at = 0").select("_by")
+    whole = probes.join(roots, "_by", "left_anti").select(row_id, vec, "_by", F.col("at").alias("cell"), F.lit(1).alias("side")).filter(F.lit(not mine))
+    schema = T.StructType([*probes.schema.fields[:4], T.StructField("at", T.LongType()), T.StructField("split", T.BooleanType())])
+
+    def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, part in pdf.groupby(["_by", "at"], dropna=False):
+                children = part["children"].iloc[0]
+                cell, radius, split = (np.array([c[k] for c in children]) for k in ("cell", "radius", "split"))
+                a = _angles(np.stack(part[vec].to_numpy()).astype(np.float64), _matrix([c["pivot"] for c in children]))
+                near = ((a - a.min(axis=1)[:, None]) / 2 <= theta + _EPS) & (a <= radius[None, :] + theta + _EPS)
+                if mine:
+                    near &= split[None, :] | (cell[None, :] < part["home"].to_numpy()[:, None])
                 i, c = np.nonzero(near)
-                parts.append((i, c, np.ones(len(i), dtype=np.int32)))
-            i = np.concatenate([p[0] for p in parts])
-            yield pd.DataFrame(
-                {
-                    row_id: pdf[row_id].to_numpy()[i],
-                    vec: pdf[vec].to_numpy()[i],
-                    "_by": pdf["_by"].to_numpy()[i],
-                    "cell": np.concatenate([p[1] for p in parts]).astype(np.int32),
-                    "side": np.concatenate([p[2] for p in parts]),
-                }
-            )
-
-    schema = T.StructType(
-        [
-            T.StructField(row_id, _id_type(rows, row_id)),
-            T.StructField(vec, T.ArrayType(T.DoubleType())),
-            T.StructField("_by", T.StringType()),
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("side", T.IntegerType()),
-        ]
-    )
-    return rows.select(row_id, vec, "_by").mapInPandas(assign, schema)
+                yield pd.DataFrame({row_id: part[row_id].to_numpy()[i], vec: part[vec].to_numpy()[i], "_by": part["_by"].to_numpy()[i], "home": part["home"].to_numpy()[i], "at": cell[c], "split": split[c]})
+
+    for _ in range(tree.levels):
+        step = probes.join(tree.children, ["_by", "at"]).select(row_id, vec, "_by", "home", "at", "children").mapInPandas(enter, schema)
+        step = cut(step)
+        whole = whole.unionByName(step.filter("not split").select(row_id, vec, "_by", F.col("at").alias("cell"), F.lit(1).alias("side")))
+        probes = step.filter("split").drop("split")
+    return whole
+
 
+def _self_visits(rows: DataFrame, row_id: str, vec: str, theta: float, block: int | None = None, fan: int | None = None) -> DataFrame:
+    """Residents (side 0) of every leaf and the rows of later leaves that must enter it (side 1)."""
+    tree = grow(rows, row_id, vec, block, fan)
+    residents = tree.homes.select(row_id, vec, "_by", F.col("home").alias("cell"), F.lit(0).alias("side"))
+    return residents if tree.children is None else residents.unionByName(visits_of(tree, tree.homes, row_id, vec, theta, True))
 
-def _tasks(visits: DataFrame, row_id: str, within: bool) -> DataFrame:
+
+def tested_pairs(visits: DataFrame) -> int:
+    """How many pairs the leaves compare."""
+    n = visits.groupBy("_by", "cell").agg(F.count_if(F.col("side") == 0).alias("h"), F.count_if(F.col("side") == 1).alias("v"))
+    return int(n.agg(F.sum(F.expr("h * (h - 1) / 2 + h * v"))).first()[0] or 0)
+
+
+def _tasks(visits: DataFrame, row_id: str, within: bool, block: int | None = None) -> DataFrame:
     """Spread the rows of each cell over tasks (cell, a, b) of two blocks each.
 
     Blocks of residents are numbered 0..h-1, blocks of visitors h..h+v-1.  ``within`` also pairs
     residents with each other.
     """
+    block = block or BLOCK
     sizes = visits.groupBy("_by", "cell").agg(
-        F.ceil(F.count_if(F.col("side") == 0) / BLOCK).cast("int").alias("h"),
-        F.ceil(F.count_if(F.col("side") == 1) / BLOCK).cast("int").alias("v"),
+        F.ceil(F.count_if(F.col("side") == 0) / block).cast("int").alias("h"),
+        F.ceil(F.count_if(F.col("side") == 1) / block).cast("int").alias("v"),
     )
     j = visits.join(sizes, ["_by", "cell"]).filter("h > 0")
     n = F.when(F.col("side") == 0, F.col("h")).otherwise(F.greatest("v", F.lit(1)))
@@ -230,14 +258,11 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.array(keep, dtype=np.int64)
 
 
-def _pair_join(reps: DataFrame, row_id: str, vec: str, t: float, strict: bool, forest: bool) -> DataFrame:
+def _pair_join(reps: DataFrame, row_id: str, vec: str, t: float, strict: bool, forest: bool, block: int | None = None, fan: int | None = None) -> DataFrame:
     idt = _id_type(reps, row_id)
     schema = T.StructType([T.StructField("i", idt), T.StructField("j", idt), T.StructField("sim", T.DoubleType())])
-    pivots = _pivots(reps, row_id, vec)
-    if not len(pivots):
-        return reps.sparkSession.createDataFrame([], schema)
     theta = math.acos(max(-1.0, min(1.0, t)))
-    visits = _visits(reps, row_id, vec, pivots, _home_cells(reps, row_id, vec, pivots), theta, "self")
+    visits = _self_visits(reps, row_id, vec, theta, block, fan)
 
     def found(ids0, m0, ids1, m1, same):
         sim = np.round(m0 @ m1.T, _DIGITS)
@@ -254,21 +279,23 @@ def _pair_join(reps: DataFrame, row_id: str, vec: str, t: float, strict: bool, f
         swap = a > b
         return pd.DataFrame({"i": np.where(swap, b, a), "j": np.where(swap, a, b), "sim": s})
 
-    return _compare(_tasks(visits, row_id, True), row_id, vec, found, schema, True)
+    return _compare(_tasks(visits, row_id, True, block), row_id, vec, found, schema, True)
 
 
-def similar_pairs(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False, by: str | None = None) -> DataFrame:
+def similar_pairs(
+    rows: DataFrame, row_id: str, vec: str, t: float, strict: bool = False, by: str | None = None, block: int | None = None, fan: int | None = None
+) -> DataFrame:
     """Unordered pairs (i < j, sim) with cosine >= ``t``, of rows with equal ``by`` if it is given.
 
     A zero vector is in no pair.
 
     Equal vectors are compared once: each copy is paired with the lowest id of its vector
-    (similarity 1), and that id stands for the copies in all other pairs.  Every pair of the plain
+    (similarity 1), and that id stands for the copies in all other pairs.  ``block`` and ``fan`` size the cells.  Every pair of the plain
     list follows from these, while a vector with a million copies costs a million rows, not their square.
     """
     units = rows.select(row_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u"))
     reps, copies = collapse_copies(units, row_id, "_u")
-    pairs = _pair_join(reps, row_id, "_u", t, strict, forest=False)
+    pairs = _pair_join(reps, row_id, "_u", t, strict, False, block, fan)
     return pairs.unionByName(copies.select(F.col("rep").alias("i"), F.col("copy").alias("j"), F.lit(1.0).alias("sim")))
 
 
@@ -281,7 +308,7 @@ def similar_edges(rows: DataFrame, row_id: str, vec: str, t: float, strict: bool
 
 
 def nearest_match(
-    new: DataFrame, main: DataFrame, new_id: str, main_id: str, vec: str, t: float, by: str | None = None
+    new: DataFrame, main: DataFrame, new_id: str, main_id: str, vec: str, t: float, by: str | None = None, block: int | None = None, fan: int | None = None
 ) -> DataFrame:
     """For each new row its most similar main row, if the cosine is at least ``t``: (new_id, main_id, sim).
 
@@ -297,21 +324,18 @@ def nearest_match(
             T.StructField("sim", T.DoubleType()),
         ]
     )
-    pivots = _pivots(reps, main_id, "_u")
-    if not len(pivots):
-        return new.sparkSession.createDataFrame([], out)
     theta = math.acos(max(-1.0, min(1.0, t)))
-    radius = _home_cells(reps, main_id, "_u", pivots)
+    tree = grow(reps, main_id, "_u", block, fan)
     # Equal new vectors ask once.
     asked = new.select(new_id, unit(vec).alias("_u"), scope(by)).filter(directed("_u"))
     asks = asked.groupBy("_by", "_u").agg(F.min(new_id).alias(new_id))
-    homes = _visits(reps, main_id, "_u", pivots, radius, theta, "home").withColumnRenamed(main_id, "_id")
-    probes = _visits(asks, new_id, "_u", pivots, radius, theta, "probe").withColumnRenamed(new_id, "_nid")
+    homes = tree.homes.select(F.col(main_id).alias("_id"), "_u", "_by", F.col("home").alias("cell"), F.lit(0).alias("side"))
+    probes = visits_of(tree, asks, new_id, "_u", theta, False).withColumnRenamed(new_id, "_nid")
     # A filler instead of null keeps long ids exact in pandas.
     both = homes.withColumn("_nid", _filler(new, new_id)).unionByName(
         probes.withColumn("_id", _filler(main, main_id))
     ).withColumn("_key", F.xxhash64("side", "_id", "_nid"))
-    tasks = _tasks(both, "_key", False)
+    tasks = _tasks(both, "_key", False, block)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["s"] == 0], pdf[pdf["s"] == 1]
@@ -342,9 +366,8 @@ def nearest_cluster(means: DataFrame, row_id: str, vec: str, above: float, by: s
     idt = _id_type(means, row_id)
     means = means.select(row_id, vec, scope(by))
     schema = T.StructType([T.StructField("id", idt), T.StructField("other", idt), T.StructField("sim", T.DoubleType())])
-    pivots = _pivots(means, row_id, vec)
     theta = math.acos(max(-1.0, min(1.0, above)))
-    visits = _visits(means, row_id, vec, pivots, _home_cells(means, row_id, vec, pivots), theta, "self")
+    visits = _self_visits(means, row_id, vec, theta)
 
     def found(ids0, m0, ids1, m1, same):
         o0, o1 = np.argsort(ids0, kind="stable"), np.argsort(ids1, kind="stable")
@@ -368,4 +391,4 @@ def nearest_cluster(means: DataFrame, row_id: str, vec: str, above: float, by: s
     return best.select("id", F.col("_b.o").alias("other"), (-F.col("_b.s")).alias("sim"))
 
 
-__all__ = ["collapse_copies", "cut", "dot", "nearest_cluster", "nearest_match", "similar_edges", "similar_pairs", "unit"]
+__all__ = ["Tree", "collapse_copies", "cut", "dot", "grow", "nearest_cluster", "nearest_match", "similar_edges", "similar_pairs", "tested_pairs", "unit", "visits_of"]

@@ -31,6 +31,22 @@ def similar_pairs(spark, d):
     return S.similar_pairs(_vec(spark, d), "vec_id", "embedding", 0.3).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
+@query("similar_pairs_levels", "F7", f"SELECT i, j, round(sim, 6)::DOUBLE AS sim FROM ({_PAIRS})")
+def similar_pairs_levels(spark, d):
+    """The same pairs through a tree of small cells, several levels deep."""
+    return S.similar_pairs(_vec(spark, d), "vec_id", "embedding", 0.3, block=32, fan=4).select("i", "j", F.round("sim", 6).alias("sim"))
+
+
+@query("nearest_match_levels", "F8", """
+WITH p AS (SELECT n.vec_id AS new_id, m.vec_id AS main_id, list_cosine_similarity(n.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS sim FROM embeddings n JOIN embeddings m ON n.vec_id % 4 = 0 AND m.vec_id % 4 <> 0)
+SELECT new_id, main_id, round(sim, 6)::DOUBLE AS sim FROM p WHERE sim >= 0.3 QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY round(sim, 12) DESC, main_id) = 1""")
+def nearest_match_levels(spark, d):
+    rows = _vec(spark, d)
+    new = rows.filter("vec_id % 4 = 0").select(F.col("vec_id").alias("new_id"), "embedding")
+    main = rows.filter("vec_id % 4 <> 0").select(F.col("vec_id").alias("main_id"), "embedding")
+    return S.nearest_match(new, main, "new_id", "main_id", "embedding", 0.3, block=32, fan=4).select("new_id", "main_id", F.round("sim", 6).alias("sim"))
+
+
 # Copies, and vectors without direction, of some of the given ones.
 _MIXED_SQL = """SELECT vec_id, embedding::DOUBLE[] AS embedding, label FROM embeddings
 UNION ALL SELECT vec_id + 1000000, embedding::DOUBLE[], label FROM embeddings WHERE vec_id % 10 = 0
