@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -109,6 +111,20 @@ def with_fallback(clients: Sequence[Client]) -> Client:
     return ask
 
 
+def as_they_arrive(call: Callable, todo: Iterator, in_flight: int) -> Iterator:
+    """Results of ``call`` on every item, with at most ``in_flight`` calls open; items are taken as calls end."""
+    if in_flight <= 1:
+        yield from map(call, todo)
+        return
+    with ThreadPoolExecutor(in_flight) as pool:
+        open_ = {pool.submit(call, item) for item in islice(todo, in_flight)}
+        while open_:
+            done, open_ = wait(open_, return_when=FIRST_COMPLETED)
+            open_ |= {pool.submit(call, item) for item in islice(todo, len(done))}
+            for f in done:
+                yield f.result()
+
+
 def infer_batches(
     prompts: DataFrame,
     row_id: str,
@@ -120,12 +136,14 @@ def infer_batches(
     tries: int = 3,
     pause: float = 2.0,
     slice_rows: int = 2000,
+    in_flight: int = 1,
 ) -> DataFrame:
     """Ask the client for every row, in waves of ``workers`` tasks with about ``slice_rows`` rows each.
 
-    ``workers`` bounds the concurrent calls.  Each wave is written to ``path`` (a new scratch table by default) when it is done, so a
-    lost executor costs one slice and a lost run one wave, however many rows there are.  Read back:
-    (row_id, reply, prompt_tokens, completion_tokens).
+    A task keeps up to ``in_flight`` calls of ``batch`` prompts open and passes replies on as they arrive, so a slow reply holds up no other
+    (the client must bear calls from several threads then); ``workers * in_flight`` bounds the concurrent calls.  Each wave is written to ``path`` (a
+    new scratch table by default) when it is done, so a lost executor costs one slice and a lost run one wave, however many rows
+    there are.  Read back: (row_id, reply, prompt_tokens, completion_tokens).
     """
     idt = prompts.schema[row_id].dataType
     schema = T.StructType(
@@ -139,18 +157,20 @@ def infer_batches(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = with_retry(factory(), tries, pause)
-        for pdf in batches:
-            for at in range(0, len(pdf), batch):
-                part = pdf.iloc[at : at + batch]
-                got = client(part[prompt].tolist())
-                yield pd.DataFrame(
-                    {
-                        row_id: part[row_id].to_numpy(),
-                        "reply": [g[0] for g in got],
-                        "prompt_tokens": [g[1] for g in got],
-                        "completion_tokens": [g[2] for g in got],
-                    }
-                )
+
+        def call(part: pd.DataFrame) -> pd.DataFrame:
+            got = client(part[prompt].tolist())
+            return pd.DataFrame(
+                {
+                    row_id: part[row_id].to_numpy(),
+                    "reply": [g[0] for g in got],
+                    "prompt_tokens": [g[1] for g in got],
+                    "completion_tokens": [g[2] for g in got],
+                }
+            )
+
+        todo = (pdf.iloc[at : at + batch] for pdf in batches for at in range(0, len(pdf), batch))
+        yield from as_they_arrive(call, todo, in_flight)
 
     spark = prompts.sparkSession
     target = path or scratch_path(spark, "replies")
