@@ -12,7 +12,7 @@ smaller id first), so that most take one byte.  Layout, little-endian, one shard
 Decoding looks the four lengths of every control byte up in a table of 256 rows and gathers the bytes with numpy.
 Shards travel as binary rows of a Parquet table, since only Spark reaches the cluster's store; ``first`` orders them.
 
-Null and empty texts are documents of the end id alone; equal document ids keep the order of their texts.
+Null and empty texts are documents of the end id alone; equal document ids are ordered by a hash of their texts.
 """
 
 from __future__ import annotations
@@ -173,9 +173,10 @@ def write_ids(df: DataFrame, folder: str, path: str, end_id: int = 0, key: str =
     """Encode the texts with the library's tokenizer at ``path`` and write id shards in ascending key order."""
     kind = df.schema[key].dataType.simpleString()
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(df[key].alias("key"), df[text].alias("text")).repartitionByRange(width, "key").sortWithinPartitions("key", F.md5("text"))
+    # Rows of one id are ordered, and dealt out, by a hash of their text.
+    rows = df.select(df[key].alias("key"), df[text].alias("text"), F.xxhash64(df[text]).alias("mark")).repartitionByRange(width, "key", "mark").sortWithinPartitions("key", "mark")
     arrow = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
-    rows.mapInArrow(lambda it: _shards(path, end_id, arrow, it), f"first {kind}, part int, seq int, n_ids long, keys array<{kind}>, shard binary").write.option("compression", "none").parquet(folder)
+    rows.select("key", "text").mapInArrow(lambda it: _shards(path, end_id, arrow, it), f"first {kind}, part int, seq int, n_ids long, keys array<{kind}>, shard binary").write.option("compression", "none").parquet(folder)
 
 
 def _documents(key_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,10 +192,15 @@ def _documents(key_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iter
 
 
 def shard_starts(spark: SparkSession, folder: str) -> DataFrame:
-    """Shards with the number of ids before them.  The window sees one short row per shard, not per document."""
-    place = spark.read.parquet(folder).select("first", "part", "seq", "n_ids")
-    order = Window.orderBy(F.asc_nulls_first("first"), "part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return place.select("part", "seq", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("at"))
+    """Shards with the number of ids before them: of earlier parts, which are ranges in order, and of earlier shards of the part.
+
+    One task sees one row for each part, not for each shard or document.
+    """
+    place = spark.read.parquet(folder).select("part", "seq", "n_ids")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = place.groupBy("part").agg(F.sum("n_ids").alias("size")).select("part", F.coalesce(F.sum("size").over(before(Window.orderBy("part"))), F.lit(0)).alias("of_parts"))
+    inside = place.select("part", "seq", F.coalesce(F.sum("n_ids").over(before(Window.partitionBy("part").orderBy("seq"))), F.lit(0)).alias("of_shards"))
+    return inside.join(parts, "part").select("part", "seq", (F.col("of_parts") + F.col("of_shards")).alias("at"))
 
 
 def read_index(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:

@@ -40,7 +40,7 @@ from .flat import PRIME, give_back, mix
 
 SEED = 24
 PIECE = 1 << 20
-RUN = 250_000
+RUN = 125_000
 RANGE_BYTES = 4 << 20
 SAMPLE = 2_000
 NO_ID = -(1 << 63)
