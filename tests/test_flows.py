@@ -12,7 +12,7 @@ from voxlode.operators import enrich as N
 from voxlode.operators import serving as V
 from voxlode.plans import bindings as B
 from voxlode.sources import containers as K
-from voxlode.sources import feeds, pages, reports, sinks
+from voxlode.sources import current, feeds, pages, reports, sinks
 from voxlode.streaming import increments as L
 
 
@@ -246,6 +246,49 @@ def test_merge_stream_equals_batch_and_survives_a_rerun(spark, tmp_path):
     assert run("cp2") == WANT
 
 
+def test_a_list_is_replaced_by_category(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "list")
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, category string, n int")
+    with pytest.raises(ValueError):
+        current.read_list(spark, path)
+    current.write_list(rows((1, "a", 1), (2, "b", 1), (3, None, 1)), path, "v1")
+    shown = lambda **k: sorted(tuple(r) for r in current.read_list(spark, path, **k).collect())
+    assert shown() == [(1, "a", 1), (2, "b", 1), (3, None, 1)]
+    with monkeypatch.context() as m:
+        m.setattr(current, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("cut off")))
+        with pytest.raises(RuntimeError):
+            current.write_list(rows((1, "a", 5)), path, "v2", touched=["a"])
+    assert shown() == [(1, "a", 1), (2, "b", 1), (3, None, 1)] and current.current_version(spark, path) == "v1"
+    current.write_list(rows((1, "a", 2), (4, "a", 2)), path, "v2", touched=["a", "gone"])
+    assert shown() == [(1, "a", 2), (2, "b", 1), (3, None, 1), (4, "a", 2)]
+    assert shown(only=[None, "a"]) == [(1, "a", 2), (3, None, 1), (4, "a", 2)] and shown(version="v1") == [(1, "a", 1), (2, "b", 1), (3, None, 1)]
+    one, two = (dict((c, f) for c, f in current.manifest_of(spark, path, v)["categories"]) for v in ("v1", "v2"))
+    assert one["b"] == two["b"] and one[None] == two[None] and one["a"] != two["a"]
+    current.write_list(rows(), path, "v3", touched=["b"])
+    assert shown() == [(1, "a", 2), (3, None, 1), (4, "a", 2)]
+    with pytest.raises(ValueError):
+        current.write_list(spark.range(1).selectExpr("id", "'a' AS category"), path, "v4", touched=["a"])
+
+
+def test_merge_list_stream_writes_what_it_touches(spark, tmp_path):
+    path = f"{tmp_path}/list"
+    current.write_list(_main(spark).unionByName(_main(spark).selectExpr("concat('z', id) AS id", "vec", "'z' AS category", *[c for c in _main(spark).columns if c not in ("id", "vec", "category")])), path, "0000")
+    before = current.manifest_of(spark, path)
+    _new(spark).repartition(1).write.parquet(f"{tmp_path}/landed")
+
+    def run(checkpoint):
+        stream = L.landed_stream(spark, f"{tmp_path}/landed", _new(spark).schema, "parquet")
+        L.merge_list_stream(stream, path, f"{tmp_path}/{checkpoint}", lambda m, b: L.merge_increment(m, b, "vec", "2026-04-24"), lambda e: f"{e + 1:04d}").awaitTermination()
+        return _shape(current.read_list(spark, path).filter("category <> 'z'"))
+
+    assert run("cp1") == WANT
+    # The same batch again starts from the version before its own.
+    assert run("cp2") == WANT
+    after = current.manifest_of(spark, path)
+    assert after["version"] == "0001" and after["before"] == "0000"
+    assert dict(map(tuple, after["categories"]))["z"] == dict(map(tuple, before["categories"]))["z"]
+
+
 def test_expire_new(spark):
     rows = [(True, "2026-04-17"), (True, "2026-04-16"), (True, "bad"), (True, ""), (False, "2026-04-24"), (None, "2026-04-24")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, f boolean, d string")

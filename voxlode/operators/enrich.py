@@ -414,6 +414,27 @@ def embed_text_client(rows: DataFrame, text: str, out: str, factory: Callable[[]
     return rows.mapInPandas(run, schema)
 
 
+def embed_text_stored(
+    rows: DataFrame, text: str, out: str, factory: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]], store: str, batch: int = 64
+) -> DataFrame:
+    """``rows`` with vectors kept at ``store`` by the digest of their text: only texts that no earlier run embedded go to the client, copies once.
+
+    A null text is embedded as the empty one.
+    """
+    from ..sources.published import exists
+
+    spark = rows.sparkSession
+    schema = "text_key string, vec array<double>"
+    keyed = rows.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_key", F.sha2("_text", 256))
+    asked = keyed.groupBy(F.col("_key").alias("text_key")).agg(F.min("_text").alias("text"))
+    if exists(spark, store):
+        asked = asked.join(spark.read.schema(schema).parquet(store), "text_key", "left_anti")
+    embed_text_client(asked, "text", "vec", factory, batch).select("text_key", "vec").write.mode("append").parquet(store)
+    # Two runs at once may both have embedded a text.
+    vectors = spark.read.schema(schema).parquet(store).groupBy("text_key").agg(F.min("vec").alias(out))
+    return keyed.join(vectors.withColumnRenamed("text_key", "_key"), "_key").select(*rows.columns, out)
+
+
 def embed_text_tfidf(rows: DataFrame, text: str, out: str, n: int = 3, dims: int = 256) -> DataFrame:
     """Unit vectors from hashed character n-grams weighted by inverse document frequency."""
     from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer

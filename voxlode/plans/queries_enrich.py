@@ -188,3 +188,25 @@ def translate_missing(spark, d):
     out, _ = N.translate_missing(
         c, done, good, recent, lambda: client([B.LineClient("é ", fail="der"), B.LineClient("ê ")]), 4, "À-ÿ")
     return out.select("id", "has_translation", F.length("content_out").alias("chars"))
+
+
+class _Measures:
+    """An embedding client whose vectors SQL can tell: length, e's and blanks."""
+
+    def __call__(self, texts):
+        return [[float(len(t)), float(t.count("e")), float(t.count(" "))] for t in texts]
+
+
+_COUNT = "CAST(length(t) - length(replace(t, '{}', '')) AS DOUBLE)"
+
+
+@query("embed_text_stored", "J11", f"""
+SELECT doc_id, CAST(length(t) AS DOUBLE) AS size, {_COUNT.format("e")} AS e, {_COUNT.format(" ")} AS blanks, (SELECT count(DISTINCT coalesce(text, '')) FROM documents) AS embedded
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def embed_text_stored(spark, d):
+    """Vectors of all documents in two runs; the second embeds what the first did not."""
+    docs, store = table(spark, d, "documents").select("doc_id", "text"), scratch_path(spark, "vectors")
+    N.embed_text_stored(docs.filter("lang = 'en'"), "text", "vec", _Measures, store)
+    out = N.embed_text_stored(docs, "text", "vec", _Measures, store)
+    embedded = spark.read.parquet(store).count()
+    return out.select("doc_id", F.col("vec")[0].alias("size"), F.col("vec")[1].alias("e"), F.col("vec")[2].alias("blanks"), F.lit(embedded).alias("embedded"))

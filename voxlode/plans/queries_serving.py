@@ -8,6 +8,7 @@ from ..operators import aggregates as A
 from ..operators import ranking as R
 from ..operators import serving as V
 from ..session import scratch_path
+from ..sources import current
 from ..sources.tables import ATOMS_SQL, atoms, table
 from ..streaming import increments as L
 from .registry import query
@@ -144,6 +145,20 @@ def merge_stream(spark, d):
     return out.select("id", "mention_count", "is_new", "last_updated_at")
 
 
+@query("merge_list_stream", "L3 A11 L5", _MERGED_SQL)
+def merge_list_stream(spark, d):
+    """The merge by several micro-batches, each of which writes only the categories it touches."""
+    main, new = _main_and_new(spark, d)
+    base = scratch_path(spark, "current")
+    current.write_list(main, f"{base}/list", "0000")
+    new.repartition("category").write.parquet(f"{base}/landed")
+    stream = L.landed_stream(spark, f"{base}/landed", new.schema, "parquet", files_per_batch=2)
+    q = L.merge_list_stream(
+        stream, f"{base}/list", f"{base}/checkpoint", lambda m, b: L.merge_increment(m, b, "embedding", "2024-07-01", 0.35), lambda e: f"{e + 1:04d}")
+    q.awaitTermination()
+    return current.read_list(spark, f"{base}/list").select("id", "mention_count", "is_new", "last_updated_at")
+
+
 @query("expire_new", "L4", """
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN false WHEN event_id % 7 = 0 THEN false WHEN event_id % 5 = 0 THEN true ELSE strftime(ts, '%Y-%m-%d') >= '2024-01-13' END AS is_new FROM events""")
 def expire_new(spark, d):

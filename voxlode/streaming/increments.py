@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.dates import parse_ts
 from ..functions.text import col
 from ..operators.similarity import nearest_match
+from ..sources.current import manifest_of, read_list, write_list
 from ..sources.sinks import SNAPSHOT
 
 
@@ -127,3 +128,26 @@ def merge_stream(
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merge_list_stream(
+    stream: DataFrame, path: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame], label: Callable[[int], str], by: str = "category"
+) -> StreamingQuery:
+    """Merge each micro-batch into the categories it touches.
+
+    ``merge(list, batch)`` gets the rows of these categories.  ``label(epoch)`` names the version.  A batch that is run again after a failure
+    starts from the version before its own.
+    """
+
+    def one(batch: DataFrame, epoch: int) -> None:
+        spark, version = batch.sparkSession, label(epoch)
+        now = manifest_of(spark, path)
+        base = now["before"] if now["version"] == version else now["version"]
+        # Rows of one batch are read several times by the merge.
+        batch = batch.persist()
+        touched = [r[0] for r in batch.select(by).distinct().collect()]
+        if touched:
+            write_list(merge(read_list(spark, path, base, touched), batch), path, version, by, touched, base)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
