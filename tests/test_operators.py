@@ -68,14 +68,35 @@ def test_match_text_rows_equals_nested_loop(spark):
     assert got == {i: want(s) for i, s in enumerate(samples) if want(s)}
 
 
-def test_containing_rows_without_the_key_list(spark, monkeypatch):
-    monkeypatch.setattr(J, "MAX_SHORT_KEYS", 0)
+def test_containing_rows_with_a_full_filter(spark, monkeypatch):
+    """A filter that lets everything through costs candidates, not results."""
+    from voxlode.operators import containment
+
+    monkeypatch.setattr(containment, "FILTER_BITS", 6)
     hay = spark.createDataFrame([(1, "abcdef"), (2, "xyz"), (3, "a")], "h int, t string")
     needles = spark.createDataFrame([(1, "bcd"), (2, "z"), (3, "a"), (4, "abcdefg")], "n int, u string")
     got = sorted((r.n, r.h) for r in J.containing_rows(needles, hay, "n", "h", "u", "t").collect())
     assert got == [(1, 1), (2, 2), (3, 1), (3, 3)]
 
 
+def test_match_text_rows_in_rounds(spark, monkeypatch):
+    """A passage in a third of the rows and samples of it: lists of several rounds, the lowest row is found."""
+    from voxlode.operators import containment
+
+    monkeypatch.setattr(containment, "GROWTH", 2)
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"row {i} " + (passage[: 60 + i % 7] if i % 3 else f"other text {i}") + f" tail {i}") for i in range(90)]
+    samples = [(i, passage[i : 30 + i]) for i in range(25)] + [(100, "x" + rows[40][1] + "y"), (101, "no such text anywhere at all"), (102, "tail 89")]
+    bare = lambda s: re.sub(r"\s+", "", s)
+    want = {}
+    for i, s in samples:
+        found = [k for k, r in rows if bare(s) in bare(r) or bare(r) in bare(s)]
+        if found:
+            want[i] = (min(found), "similar")
+    sd, rd = spark.createDataFrame(samples, "sid int, t string"), spark.createDataFrame(rows, "rid int, t string")
+    assert {r.sid: (r.rid, r.how) for r in J.match_text_rows(sd, rd, "t", "sid", "rid").collect()} == want
+
+
 def test_tiered_lookup_order(spark):
     dim = spark.createDataFrame([(0, "AI answer", "a"), (1, "AIanswer", "b"), (2, "answer quality", "c"), (3, "abc", "d")], "o int, k string, s string")
     rows = spark.createDataFrame([("AI answer",), ("AIanswer",), ("A Ianswer",), ("poor answer quality today",), ("quality",), ("abcd",), ("none",)], "t string")
