@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lexicon import Rule
+from ..patterns import ascii_classes
 from .terms import WordIndex, required_literal
 
 PART_BYTES = 16 << 20
@@ -103,31 +104,6 @@ def _searcher(pattern: str) -> Callable:
     return _SEARCH[pattern]
 
 
-# What the short classes mean in Java's patterns.
-SHORT = {"w": "A-Za-z0-9_", "d": "0-9", "s": r" \t\n\x0B\f\r"}
-
-
-def ascii_classes(pattern: str) -> str:
-    """The pattern with short classes written out, since Python's mean all of Unicode."""
-    out, i, inside = [], 0, False
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\" and i + 1 < len(pattern):
-            e = pattern[i + 1]
-            if e in SHORT:
-                out.append(SHORT[e] if inside else f"[{SHORT[e]}]")
-            elif e.lower() in SHORT and not inside:
-                out.append(f"[^{SHORT[e.lower()]}]")
-            else:
-                out.append(c + e)
-            i += 2
-            continue
-        inside = c == "[" or inside and c != "]"
-        out.append(c)
-        i += 1
-    return "".join(out)
-
-
 def lookup(codes: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Value of each wanted code, 0 if it isn't there; ``codes`` are sorted."""
     if not len(codes):
