@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -49,3 +52,23 @@ def test_pipeline_stages(spark):
         elif name == "bpe":
             assert {r.doc_id for r in out.collect()} == set(held)
     assert 0 < len(held) < 200
+
+
+def test_workers_get_the_package(tmp_path):
+    """A driver in another folder whose workers don't find the package: the first query of a session and a pipeline stage."""
+    root = Path(__file__).resolve().parents[2]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+import __spark_entry__ as e
+import corpus_pipeline
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+assert e.queries()["op13_vector_codes"](spark, {SF!r}).count() > 0
+docs = spark.read.parquet({SF!r} + "/documents.parquet")
+assert dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, {SF!r}).count() > 0
+print("fine")
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
