@@ -86,3 +86,31 @@ def test_a_table_of_any_number_of_rules(spark, monkeypatch):
     monkeypatch.setattr("voxlode.lexicon.MAX_BYTES", 100)
     with pytest.raises(ValueError):
         rules_from_table(t)
+
+
+def test_many_demands(spark):
+    """10,000 demands of a table, rated as one by one."""
+    from pyspark.sql import functions as F
+
+    from voxlode.functions.quality import QualityRules, SampleRules
+    from voxlode.operators import evidence
+
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdef") for _ in range(r.choice([4, 6, 9]))) for _ in range(8_000)]
+    made = [(f"d{i:05d}", f"Better {r.choice(words)}", r.sample(words, 3)) for i in range(10_000)]
+    demands = evidence.demands_from_table(spark.createDataFrame(made, "demand_id string, title string, keywords array<string>").repartition(3))
+    assert demands == made
+    texts = [" ".join(r.choice(words) for _ in range(12)) for _ in range(30)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    terms_of = lambda t: [w for w in t.split(" ") if w != "Better"]
+    got = Counter((x.id, x.demand_id, x.relevance, x.quality) for x in evidence.rated_for_demands(df, "t", demands, terms_of, QualityRules(), SampleRules()).collect())
+    want = Counter()
+    for i, t in enumerate(texts):
+        inside = {w for w in words if w in (t or "")}
+        for d, title, kw in made:
+            relevance = len(inside & {*terms_of(title), *kw})
+            related = len(inside & set(terms_of(title))) + len(inside & set(kw))
+            if relevance:
+                want[(i, d, relevance, 6.0 + min(related * 0.5, 2.0))] += 1
+    assert want and got == want
+    assert evidence.rated_for_demands(df.filter(F.col("id") < 0), "t", demands, terms_of, QualityRules(), SampleRules()).count() == 0

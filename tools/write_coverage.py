@@ -10,9 +10,9 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 WHERE = {
-    "A": "sources", "B": "functions/text.py, functions/dates.py", "C": "functions/quality.py, functions/dates.py", "D": "operators/tagging.py",
-    "E": "functions/scores.py", "F": "operators/joins.py, operators/similarity.py", "G": "operators/aggregates.py", "H": "operators/ranking.py, operators/evidence.py",
-    "I": "functions/text.py, operators/joins.py", "J": "operators/enrich.py", "K": "operators/clustering.py, operators/graph.py", "L": "streaming/increments.py, sources/sinks.py",
+    "A": "sources", "B": "functions/text.py, functions/dates.py", "C": "functions/quality.py, functions/dates.py", "D": "operators/tagging.py, operators/lexicon_scan.py",
+    "E": "functions/scores.py", "F": "operators/joins.py, operators/containment.py, operators/similarity.py", "G": "operators/aggregates.py", "H": "operators/ranking.py, operators/evidence.py",
+    "I": "functions/text.py, operators/joins.py", "J": "operators/enrich.py, operators/ledger.py, plans/consolidation.py", "K": "operators/clustering.py, operators/graph.py", "L": "streaming/increments.py, sources/sinks.py, sources/current.py",
     "M": "operators/serving.py",
 }
 

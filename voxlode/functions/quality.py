@@ -118,10 +118,14 @@ def sample_quality(
     ``gate`` is true where the general tests (rejected, incoherent) passed; compute it once per
     text.  ``structure`` lists (all of, any of) word groups.
     """
+    low = F.lower(col(c))
+    return sample_quality_of(c, gate, count_present(low, title_terms) + count_present(low, keywords), rules, sample)
+
+
+def sample_quality_of(c: Column | str, gate: Column, related: Column, rules: QualityRules, sample: SampleRules) -> Column:
+    """:func:`sample_quality` where the number of ``related`` words present is known."""
     s = col(c)
-    low = F.lower(s)
     n = F.length(s)
-    related = count_present(low, title_terms) + count_present(low, keywords)
     built = F.lit(False)
     for every, some in sample.structure:
         part = F.lit(True)
