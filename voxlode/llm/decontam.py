@@ -180,3 +180,27 @@ def remove_leaks(docs: DataFrame, bench: DataFrame, depth: int = 10, key: str =
     plain = docs.toDF(*(f"x{i}" for i in range(len(names))))
     found = find_leaks(plain, bench, depth, f"x{names.index(key)}", f"x{names.index(text)}", carry=[f"x{i}" for i in range(len(names)) if names[i] != key])
     return found.filter(F.size("matches") == 0).select(*(F.col(f"x{i}").alias(n) for i, n in enumerate(names)))
+
+
+#: The same with every window of every text spelled out.
+ORACLE = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), t AS MATERIALIZED (
+  SELECT DISTINCT item, n, array_to_string(w[i + 1:i + n], ' ') AS said
+  FROM (SELECT item, w, n, unnest(range(len(w) - n + 1)) AS i FROM (SELECT item, w, least(len(w), {depth}) AS n FROM b WHERE len(w) > 0))
+), h AS MATERIALIZED (
+  SELECT p.r, p.i, p.n, t.item FROM (
+    SELECT r, n, i, array_to_string(w[i + 1:i + n], ' ') AS said FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM t))
+  ) p JOIN t ON t.n = p.n AND t.said = p.said
+), k AS (SELECT r, count(DISTINCT spot) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS spot FROM h) GROUP BY r),
+m AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
+"""

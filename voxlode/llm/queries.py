@@ -92,7 +92,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder, payloads=False).drop("url")
 
 
-@query("op10_decontamination")
+@query("op10_decontamination", decontam.ORACLE.format(depth=10))
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of every document stand in a benchmark window, and of which items."""
     return decontam.digest(decontam.find_leaks(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")))
