@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .flat import slices
+from .flat import CACHES, slices
 
 #: Fixed value: the public pre-token pattern of the vocabulary, with white space as a Unicode property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -113,6 +113,9 @@ def codec(path: str) -> BytePairs:
     return BytePairs(path)
 
 
+CACHES["bpe"] = codec.cache_clear
+
+
 def cut_pieces(texts: pa.Array, unsafe: str) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
     """(pieces, code, offset, whole): distinct pieces, and each text as codes into them.  The pieces of text i are
     code[offset[i]:offset[i + 1]].  Pieces after the first of a text begin with the space before them.
@@ -147,7 +150,7 @@ def encode_column(texts: pa.Array, path: str) -> tuple[list[list[int]], np.ndarr
 
 
 def _encoded(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in slices(batches, LOT_BYTES):
+    for rows in slices(batches, LOT_BYTES, "bpe"):
         per_piece, code, offset = encode_column(rows.column(1), path)
         size = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
         flat = np.fromiter((i for ids in per_piece for i in ids), np.int32, int(size.sum()))
@@ -186,7 +189,7 @@ def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> D
 
 def _digests(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs = codec(path)
-    for rows in slices(batches, LOT_BYTES):
+    for rows in slices(batches, LOT_BYTES, "bpe"):
         per_piece, code, offset = encode_column(rows.column(1), path)
         size = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
         counted = np.concatenate(([0], np.cumsum(size[code])))[offset]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,9 +39,9 @@ def flatten(texts: list[bytes]) -> Flat:
     return Flat(np.frombuffer(b"\n".join([*texts, b""]), np.uint8), end - size, end)
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices of about ``most`` text bytes; column 1 is the text."""
-    give_back()
+def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``most`` text bytes; column 1 is the text.  ``keep`` names the cache that the next task will use again."""
+    give_back(keep)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,11 +50,19 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[p
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
-    give_back()
+    give_back(keep)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a Python worker is used again by later stages, which need it for other things."""
+#: What operators keep in a worker from task to task, and how to drop it.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def give_back(keep: str = "") -> None:
+    """Drop caches but ``keep`` and return freed memory to the system: a Python worker is used again by later stages, which need it for other things."""
+    for name, drop in CACHES.items():
+        if name != keep:
+            drop()
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import PATTERN, UNSAFE, cut_pieces, expand
-from .flat import slices
+from .flat import CACHES, slices
 
 #: Text bytes in a shard: the more, the more pieces are equal.
 LOT_BYTES = 8 << 20
@@ -142,6 +142,14 @@ def _known(path: str) -> KnownIds:
     return KnownIds(path)
 
 
+def _forget() -> None:
+    _known.cache_clear()
+    _library.cache_clear()
+
+
+CACHES["ids"] = _forget
+
+
 def _quoted(s: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in s)
 
@@ -149,7 +157,7 @@ def _quoted(s: str) -> str:
 def _shards(path: str, end_id: int, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _, unsafe = _library(path)
     part = TaskContext.get().partitionId()
-    for seq, rows in enumerate(slices(batches, LOT_BYTES)):
+    for seq, rows in enumerate(slices(batches, LOT_BYTES, "ids")):
         pieces, code, offset, whole = cut_pieces(rows.column(1), unsafe)
         per_piece = _known(path).ids(pieces.to_pylist(), whole)
         per_piece.append(array("I", [end_id]).tobytes())
