@@ -63,3 +63,16 @@ def test_kmeans_plan_does_not_grow_with_rounds(spark):
     whole = C.split_oversize(df, "g", "id", "vec", max_size=6)
     as_set = lambda d: {(r.id, r.part) for r in d.collect()}
     assert as_set(parts) == as_set(whole)
+
+
+def test_counted_atoms_carry_no_text(spark):
+    """Atoms without statements are the same rows, and no text reaches a join."""
+    from voxlode.sources.tables import atoms
+
+    d = "/root/testdata/sf0.001"
+    counted, full = atoms(spark, d, statements=False), atoms(spark, d).drop("need_statement")
+    assert counted.columns == full.columns
+    assert not counted.exceptAll(full).count() and not full.exceptAll(counted).count()
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.index("Join")
+    assert not [x for x in plan[top:].splitlines() if "Project" in x and "text#" in x.split("size(")[0]]
