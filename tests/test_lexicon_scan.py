@@ -114,3 +114,21 @@ def test_many_demands(spark):
                 want[(i, d, relevance, 6.0 + min(related * 0.5, 2.0))] += 1
     assert want and got == want
     assert evidence.rated_for_demands(df.filter(F.col("id") < 0), "t", demands, terms_of, QualityRules(), SampleRules()).count() == 0
+
+
+def test_matches_are_handed_on_in_pieces():
+    """A text that meets many rules isn't repeated for all of them at once."""
+    texts = lexicon_scan.pa.array(["x" * (1 << 16), None, "y"])
+    at, rule = np.repeat(np.arange(3), 200), np.tile(np.arange(200), 3)
+    got = list(lexicon_scan.pieces([texts], at, [lexicon_scan.pa.array(rule)]))
+    assert max(p[0].nbytes for p in got) < 2 * lexicon_scan.LOT_BYTES
+    assert [v for p in got for v in zip(p[0].to_pylist(), p[1].to_pylist())] == list(zip(texts.take(lexicon_scan.pa.array(at)).to_pylist(), rule.tolist()))
+
+
+def test_text_is_not_carried(spark):
+    rules = [Rule(f"r{i}", keywords=["ab"], relevance=["b"]) for i in range(5)]
+    rows = spark.createDataFrame([(i, "ab" * i) for i in range(4)] + [(9, None)], "id long, text string")
+    lean = tagging.match_rules(rows, "text", rules, carry=["id"])
+    assert lean.columns == ["id", "rule_id", "rule_ord", "relevance"]
+    whole = tagging.match_rules(rows, "text", rules)
+    assert sorted(map(tuple, lean.collect())) == sorted(map(tuple, whole.drop("text").collect())) and lean.count() == 15

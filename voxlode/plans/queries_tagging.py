@@ -41,7 +41,7 @@ def _sql_match(r, i):
 @query("match_rules", "D3", B.sql_rule_rows(_sql_match))
 def match_rules(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return tagging.match_rules(docs, "text", B.RULES).drop("text")
+    return tagging.match_rules(docs, "text", B.RULES, carry=["doc_id"])
 
 
 _HITS = ", ".join(
@@ -194,4 +194,4 @@ SELECT doc_id, 'w' || ord AS rule_id, CAST(ord AS INTEGER) AS rule_ord, CAST(r A
 def match_lexicon(spark, d):
     """A lexicon that is a table, however many rules it has."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return tagging.match_rules(docs, "text", rules_from_table(_lexicon(spark, d))).drop("text")
+    return tagging.match_rules(docs, "text", rules_from_table(_lexicon(spark, d)), carry=["doc_id"])
