@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from voxlode.operators import clustering as C
 from voxlode.operators import containment as T
 from voxlode.operators import joins as J
+from voxlode.operators import ranking as R
 
 
 def test_long_needles_have_few_keys(spark):
@@ -76,3 +78,21 @@ def test_counted_atoms_carry_no_text(spark):
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     top = plan.index("Join")
     assert not [x for x in plan[top:].splitlines() if "Project" in x and "text#" in x.split("size(")[0]]
+
+
+def test_rows_are_judged_once(spark):
+    """What judges the rows of a sample over time, or the fresh evidence made of it, runs once for each row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def topic(i):
+        seen.add(1)
+        return f"t{i % 3}"
+
+    day = F.timestamp_seconds(F.lit(1735689600) + F.col("id") * 86400)
+    rows = spark.range(0, 300, 1, 4).select("id", topic("id").alias("topic"), F.concat(F.lit("a"), F.col("id") % 7).alias("app"), day.alias("ts"), F.col("id").alias("o"))
+    fresh = R.time_stratified_sample(rows, "topic", "id", "app", "ts", "o", F.timestamp_seconds(F.lit(1735689600)), 365)
+    old = spark.createDataFrame([("t0", 1), ("gone", 2)], "topic string, row_id long").withColumns({c: F.lit(None) for c in fresh.columns if c not in ("topic", "row_id")})
+    got = R.refresh_evidence(old, fresh.select(old.columns), "topic").collect()
+    assert seen.value == 300
+    assert sorted({r.topic for r in got}) == ["gone", "t0", "t1", "t2"] and sum(r.topic == "t0" for r in got) == 5
