@@ -11,6 +11,8 @@ from voxlode.operators import clustering as C
 from voxlode.operators import containment as T
 from voxlode.operators import joins as J
 from voxlode.operators import ranking as R
+from voxlode.operators import similarity as S
+from voxlode.streaming import increments as L
 
 
 def test_long_needles_have_few_keys(spark):
@@ -96,3 +98,33 @@ def test_rows_are_judged_once(spark):
     got = R.refresh_evidence(old, fresh.select(old.columns), "topic").collect()
     assert seen.value == 300
     assert sorted({r.topic for r in got}) == ["gone", "t0", "t1", "t2"] and sum(r.topic == "t0" for r in got) == 5
+
+
+def test_length_of_a_vector_is_taken_once(spark):
+    rows = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [None, 1.0])], "id long, v array<double>")
+    df = rows.select("id", S.unit("v").alias("u"))
+    # Taken in the lambda of the components it would be taken for each of them.
+    assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
+    assert [r.u for r in df.orderBy("id").collect()] == [[0.6, 0.8], [0.0, 0.0], None, [None, None]]
+
+
+def test_lists_are_compared_once(spark):
+    """The merge of a batch reads its rows for the comparison, and each list once more for what becomes of it."""
+    seen = {k: spark.sparkContext.accumulator(0) for k in ("main", "new")}
+
+    def category(name):
+        def of(i):
+            seen[name].add(1)
+            return f"c{i % 2}"
+
+        return F.udf(of, "string")
+
+    vec = F.array(*[F.pmod(F.xxhash64("n", F.lit(k)), F.lit(7)).cast("double") for k in range(4)])
+    base = spark.range(0, 40, 1, 2).withColumnRenamed("id", "n")
+    main = base.select(
+        F.concat(F.lit("m"), F.col("n")).alias("id"), category("main")("n").alias("category"), vec.alias("v"), F.lit(1).cast("long").alias("mention_count"), F.lit(False).alias("is_new"),
+        F.lit("d").alias("discovered_at"), F.lit(None).cast("string").alias("last_updated_at"))
+    new = base.select((F.col("n") + 100).alias("n")).select(F.col("n").alias("ord"), category("new")("n").alias("category"), vec.alias("v"), F.lit(1).alias("size"))
+    out = L.merge_increment(main, new, "v", "2025-01-01", 0.9).collect()
+    assert sum(r.mention_count for r in out) == 80
+    assert seen["main"].value <= 80 and seen["new"].value <= 120

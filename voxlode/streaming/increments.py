@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.dates import parse_ts
 from ..functions.text import col
 from ..operators.similarity import nearest_match
+from ..session import cut
 from ..sources.current import manifest_of, read_list, write_list
 from ..sources.sinks import SNAPSHOT
 
@@ -64,7 +65,8 @@ def merge_increment(
     """
     asks = new.select(F.col("ord").alias("_new"), vec, "category")
     olds = main.select(F.col("id").alias("_old"), vec, "category")
-    match = nearest_match(asks, olds, "_new", "_old", vec, t, by="category")
+    # Matched rows and the others are both taken from it: the comparison runs once.
+    match = cut(nearest_match(asks, olds, "_new", "_old", vec, t, by="category").select("_new", "_old"))
     hit = new.join(match.select(F.col("_new").alias("ord"), "_old"), "ord")
     grown = hit.groupBy("_old").agg(F.sum("size").alias("_add"))
     kept = (
