@@ -345,3 +345,20 @@ def test_serving_edges(spark):
     # No usable product name: taken from the evidence.
     assert v["b"].apps == ["App"]
     assert [(s.name, s.n) for s in v["a"].mention_sources] == [("store", 2), ("play", 1)]
+
+
+def test_keys_of_texts_are_made_once(spark, monkeypatch):
+    """Sizes, terms and the merged groups come from one pass over the texts."""
+    from voxlode.plans import queries_clustering as Q
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def terms(t):
+        seen.add(1)
+        return sorted(set(t.split()))[:5]
+
+    monkeypatch.setattr(Q.text, "top_terms", lambda c, *_: terms(c))
+    d = "/root/testdata/sf0.001"
+    rows = Q.greedy_merge_clusters(spark, d).collect()
+    assert rows and 0 < seen.value <= Q.table(spark, d, "documents").count()
