@@ -362,3 +362,17 @@ def test_keys_of_texts_are_made_once(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     rows = Q.greedy_merge_clusters(spark, d).collect()
     assert rows and 0 < seen.value <= Q.table(spark, d, "documents").count()
+
+
+def test_grams_are_counted_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        seen.add(1)
+        return "abcabd"[: i % 7]
+
+    rows = spark.range(0, 70, 1, 2).select("id", text("id").alias("t"))
+    got = N.embed_text_tfidf(rows, "t", "v", dims=16, carry=["id"])
+    assert got.columns == ["id", "v"] and len(got.collect()) == 70
+    assert seen.value == 70
