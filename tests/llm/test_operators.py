@@ -7,13 +7,14 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from voxlode.llm import bpe, decontam, divergence, idfile, lm, ngram_join, queries, sharding, suffix_dedup, toxicity, warc
-from voxlode.session import scratch_path
+from voxlode.session import checkpoint_root, scratch_path
 
 SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -323,6 +324,30 @@ def test_ngram_join_group_of_near_copies(spark):
         assert as_counter(ngram_join.components(df, percent, 5), "doc_id", "n_shingles", "component_id") == brute_components(rows, percent, 5)
 
 
+def test_signatures_rule_out_no_link():
+    random = np.random.default_rng(3)
+    for n in (1, 2, 40, 63, 64, 65, 700, 3000):
+        a = random.integers(0, 1 << 63, n).astype(np.uint64)
+        for other in (0, 1, n // 10, n // 2, n):
+            b = np.concatenate((a[other:], random.integers(0, 1 << 63, other + n // 8).astype(np.uint64)))
+            least = ngram_join.least_difference(ngram_join.signature(a), ngram_join.signature(b))
+            assert least == ngram_join.least_difference(ngram_join.signature(b), ngram_join.signature(a))
+            assert least <= 2 * other + n // 8 and (least - n // 8) % 2 == 0
+            if other == n > 60:
+                assert least > n // 4
+
+
+def test_ngram_join_writes_sets_of_likely_pairs_only(spark):
+    """Texts with one shingle in common have a key in common, but their sets are not written."""
+    say = lambda k: " ".join([*(f"w{k}x{i}" for i in range(60)), "a", "passage", "they", "share"])
+    rows = [(k, say(k)) for k in range(50)] + [(50, say(49) + " twice")]
+    written = lambda: set(Path(checkpoint_root(spark).removeprefix("file://")).glob("ngram-sets-*"))
+    before = written()
+    got = ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
+    assert as_counter(got, "doc_id", "n_shingles", "component_id") == brute_components(rows, 85, 4)
+    assert sum(spark.read.parquet(str(f)).count() for f in written() - before) == 2
+
+
 def test_keep_one(docs):
     out = ngram_join.keep_one(docs)
     assert out.columns == docs.columns

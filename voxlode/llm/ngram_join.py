@@ -11,7 +11,8 @@ candidates.
 * Links.  A key's nodes are first compared with one pivot of the key, of all pivots the one that shares most keys.  After the linked nodes
   have been joined into components, all pairs of a key that lie in different components, and that sizes and prefix
   places do not rule out, are compared.  Pairs inside a component need no comparison: only components are asked for.
-* Every candidate pair is verified on the whole sets (40 bits of each token's hash).
+* A candidate pair whose parity signatures differ in more bits than the sets may differ in tokens can't be linked and goes; all others are
+  verified on the whole sets (40 bits of each token's hash).  Only sets of such pairs are written and shuffled.
 
 Hot keys: pivots come from partial aggregates, a node is compared with a pivot once, and the second step pairs only the nodes outside a
 key's largest component with the others.
@@ -64,6 +65,21 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """One bit for every token at least: is the number of tokens that fall to it odd?"""
+    size = 1 << max(6, (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Two sets with these signatures differ in so many tokens at least."""
+    x, y = sorted((np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")), key=len)
+    # The halves of a signature make up one of half the size.
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
@@ -81,19 +97,17 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _nodes(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(1 << BUCKET_BITS, np.uint32)
-    names = ["kind", "doc", "mark", "n", "node", "part", "counts"]
+    names = ["kind", "doc", "mark", "n", "node", "sign", "part", "counts"]
     for rows in slices(batches):
         sets = shingle_sets(text_bytes(rows.column(1)), width)
         if sets:
             count += np.bincount(bucket(np.concatenate(sets)), minlength=len(count)).astype(np.uint32)
         m = len(sets)
-        cols = [pa.array(np.zeros(m, np.int32)), rows.column(0), rows.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())]
+        cols = [pa.array(np.zeros(m, np.int32)), rows.column(0), rows.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary())]
         yield pa.RecordBatch.from_arrays([*cols, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
-    kind = None
     for part, piece in enumerate(count.reshape(-1, 1 << SLICE_BITS)):
         if piece.any():
-            kind = kind or pa.int64()
-            row = [pa.array([1], pa.int32()), *(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())]
+            row = [pa.array([1], pa.int32()), *(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.binary()), pa.array([part], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())]
             yield pa.RecordBatch.from_arrays(row, names)
 
 
@@ -258,6 +272,23 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([rows.column(0).filter(pa.array(keep, pa.bool_())), rows.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
 
+def _possible(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        keep = []
+        for na, nb, x, y in zip(*(rows.column(i).to_pylist() for i in (2, 3, 4, 5))):
+            # Sets that share s tokens differ in na + nb - 2 * s.
+            most = na + nb - 2 * -(-percent * (na + nb) // (100 + percent))
+            keep.append(least_difference(x, y) <= most)
+        yield pa.RecordBatch.from_arrays([rows.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
+
+
+def possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the signatures (node, n, sign) don't rule out."""
+    of = lambda x: signs.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sign").alias(f"sign_{x}"))
+    both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    return both.select("a", "b", "na", "nb", "sign_a", "sign_b").mapInArrow(lambda it: _possible(percent, it), "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar enough."""
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
@@ -277,8 +308,8 @@ def linked(df: DataFrame, percent: int, width: int, key: str, text: str) -> tupl
     docs = df.select(F.col(key).alias("doc"), F.col(text).alias("text"), mark_of(text).alias("mark"))
     parts = max(shuffle_width(spark), 16)
     folder = scratch_path(spark, "ngram-nodes")
-    docs.mapInArrow(lambda it: _nodes(width, it), "kind int, doc long, mark long, n long, node long, part int, counts binary").write.partitionBy("kind").parquet(folder)
-    stored = spark.read.schema("doc long, mark long, n long, node long, part int, counts binary, kind int").parquet(folder)
+    docs.mapInArrow(lambda it: _nodes(width, it), "kind int, doc long, mark long, n long, node long, sign binary, part int, counts binary").write.partitionBy("kind").parquet(folder)
+    stored = spark.read.schema("doc long, mark long, n long, node long, sign binary, part int, counts binary, kind int").parquet(folder)
     nodes = stored.filter("kind = 0").select("doc", "mark", "n", "node")
     # One class byte for each of 2 ** BUCKET_BITS buckets, whatever the size of the corpus.
     sketch = np.zeros(1 << BUCKET_BITS, np.uint8)
@@ -291,15 +322,22 @@ def linked(df: DataFrame, percent: int, width: int, key: str, text: str) -> tupl
     index.groupBy("part").applyInPandas(_live, "key long, node long, n long, at long").write.parquet(folder)
     live = spark.read.schema("key long, node long, n long, at long").parquet(folder)
 
-    # Whole sets of the nodes that have a key in common with another, one document for each.
-    chosen = nodes.join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
-    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for r in chosen.select("doc").mapInArrow(_mark, "part int, bits binary").groupBy("part").applyInPandas(_unite_marks, "part int, bits binary").collect():
-        bits[r.part << SLICE_BITS : (r.part + 1) << SLICE_BITS] = np.frombuffer(r.bits, np.uint8)
-    marks = spark.sparkContext.broadcast(bits)
-    folder = scratch_path(spark, "ngram-sets")
-    docs.mapInArrow(lambda it: _sets(width, marks.value, it), "node long, tokens binary").write.parquet(folder)
-    sets = spark.read.schema("node long, tokens binary").parquet(folder)
+    signs = stored.filter("kind = 0 AND n > 0").select("node", "n", "sign").dropDuplicates(["node"])
+
+    def linking(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough."""
+        likely = cut(possible(pairs, signs, percent))
+        # Whole sets of their nodes, one document for each.
+        asked = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        chosen = nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
+        bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+        for r in chosen.select("doc").mapInArrow(_mark, "part int, bits binary").groupBy("part").applyInPandas(_unite_marks, "part int, bits binary").collect():
+            bits[r.part << SLICE_BITS : (r.part + 1) << SLICE_BITS] = np.frombuffer(r.bits, np.uint8)
+        marks = spark.sparkContext.broadcast(bits)
+        folder = scratch_path(spark, "ngram-sets")
+        docs.mapInArrow(lambda it: _sets(width, marks.value, it), "node long, tokens binary").write.parquet(folder)
+        sets = spark.read.schema("node long, tokens binary").parquet(folder)
+        return verified(likely, sets, percent)
 
     # The node in which a key comes first has the fewest tokens of its own before it: the likeliest original.
     member = F.struct("at", "node", "n")
@@ -311,7 +349,7 @@ def linked(df: DataFrame, percent: int, width: int, key: str, text: str) -> tupl
         .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
     )
     near = cut(near)
-    edges = cut(verified(near, sets, percent))
+    edges = cut(linking(near))
     rows = cut(labelled(live, edges))
 
     sizes = rows.groupBy("key", "component").count()
@@ -325,7 +363,7 @@ def linked(df: DataFrame, percent: int, width: int, key: str, text: str) -> tupl
     )
     known = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = cut(rest.join(known, ["a", "b"], "left_anti"))
-    edges = edges.unionByName(verified(rest, sets, percent))
+    edges = edges.unionByName(linking(rest))
 
     of_node = nodes.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"))
     return nodes, labelled(of_node, edges)
