@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxlode.llm import bpe, decontam, divergence, idfile, lm, ngram_join, queries, sharding, suffix_dedup, toxicity, warc
+from voxlode.llm import bpe, decontam, divergence, flat, idfile, lm, ngram_join, queries, sharding, suffix_dedup, toxicity, warc
 from voxlode.session import checkpoint_root, scratch_path
 
 SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -324,6 +324,24 @@ def test_ngram_join_group_of_near_copies(spark):
         assert as_counter(ngram_join.components(df, percent, 5), "doc_id", "n_shingles", "component_id") == brute_components(rows, percent, 5)
 
 
+def test_tokens_sum_bytes_once(monkeypatch):
+    """Words and their endings share the sums over all bytes, the dearest part of their hashes."""
+    calls = []
+    plain = lm.range_sums
+    monkeypatch.setattr(lm, "range_sums", lambda buf: calls.append(len(buf)) or plain(buf))
+    monkeypatch.setattr(flat, "range_sums", lambda buf: calls.append(len(buf)) or plain(buf))
+    h, ending, first = lm.tokens([b"One two", b"", b"one"])
+    assert len(calls) == 1 and first.tolist() == [0, 2, 2, 3] and h[0] == h[2] != h[1] and ending[0] == ending[2]
+
+
+def test_gradient_sums():
+    random = np.random.default_rng(2)
+    index, rows = random.integers(0, 40, 300), random.normal(size=(300, 5)).astype(np.float32)
+    want = np.zeros((50, 5))
+    np.add.at(want, index, rows)
+    assert np.allclose(lm._grouped(index, rows, 50), want, atol=1e-5)
+
+
 def test_signatures_rule_out_no_link():
     random = np.random.default_rng(3)
     for n in (1, 2, 40, 63, 64, 65, 700, 3000):

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The separators of words: space and the five control characters from tab to carriage return.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -45,7 +46,7 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20, keep: str = "
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.fromiter((0 if t is None else len(t) for t in batch.column(1).cast(pa.binary()).to_pylist()), np.int64, batch.num_rows)
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         cut = np.cumsum(sizes) // most
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
@@ -114,12 +115,22 @@ def _powers(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def range_hashes(buf: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """64-bit hash of every byte range, equal for equal bytes wherever they stand."""
+def range_sums(buf: np.ndarray) -> np.ndarray:
+    """What ``range_hashes`` takes of the bytes; ranges of several kinds can share it."""
     n = len(buf) + 1
-    total = np.zeros(n, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * _powers("up", PRIME, n)[1:], out=total[1:])
-    h = (total[stop] - total[begin]) * _powers("down", INVERSE, n)[begin]
+    total = np.empty(n, np.uint64)
+    total[0] = 0
+    weighed = np.add(buf, np.uint64(1), out=total[1:])
+    weighed *= _powers("up", PRIME, n)[1:]
+    np.cumsum(weighed, out=weighed)
+    return total
+
+
+def range_hashes(buf: np.ndarray, begin: np.ndarray, stop: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of every byte range, equal for equal bytes wherever they stand."""
+    if total is None:
+        total = range_sums(buf)
+    h = (total[stop] - total[begin]) * _powers("down", INVERSE, len(buf) + 1)[begin]
     return mix(h + (stop - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

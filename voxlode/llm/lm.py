@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .flat import flatten, lower_ascii, mix, range_hashes, slices, text_bytes, words
+from .flat import flatten, lower_ascii, mix, range_hashes, range_sums, slices, text_bytes, words
 
 ORDER, WIDTH = 3, 16
 TOP, ENDINGS = 384, 127
@@ -52,8 +52,9 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat.buf = buf
     begin, stop, first = words(flat)
     tail = np.maximum(begin, stop - 3)
-    ending = mix(range_hashes(buf, tail, stop)) % np.uint64(ENDINGS)
-    return range_hashes(buf, begin, stop), ending.astype(np.int64), first
+    total = range_sums(buf)
+    ending = mix(range_hashes(buf, tail, stop, total)) % np.uint64(ENDINGS)
+    return range_hashes(buf, begin, stop, total), ending.astype(np.int64), first
 
 
 # ---- counts -------------------------------------------------------------------------------------------------------
@@ -188,12 +189,11 @@ def sequences(cls: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return line[at], np.column_stack([line[at - i - 1] for i in range(ORDER)])
 
 
-def _grouped(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of rows by index: (indexes, sums)."""
-    order = np.argsort(index.astype(np.int16), kind="stable")  # short numbers are sorted digit by digit
-    ranked = index[order]
-    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    return ranked[first], np.add.reduceat(rows[order], first, axis=0)
+def _grouped(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by index, for all indexes below ``n``."""
+    width = rows.shape[1]
+    cell = (index * width)[:, None] + np.arange(width)
+    return np.bincount(cell.ravel(), rows.ravel(), n * width).astype(np.float32).reshape(n, width)
 
 
 class Trainer:
@@ -208,39 +208,52 @@ class Trainer:
         self.log_noise = np.log(NOISE * share).astype(np.float32)
         self.seen = 0
 
-    def step(self, part: int, index, gradient: np.ndarray) -> None:
+    def step(self, part: int, gradient: np.ndarray) -> None:
+        """Classes without a gradient stay as they are."""
         past, value = self.past[part], self.p.parts()[part]
-        past[index] += gradient * gradient
-        value[index] += RATE * gradient / np.sqrt(past[index])
+        past += gradient * gradient
+        value += RATE * gradient / np.sqrt(past)
 
     def train(self, target: np.ndarray, context: np.ndarray) -> None:
         order = self.random.permutation(len(target))
+        target, context = target[order], np.ascontiguousarray(context[order].T)
         for i in range(0, len(order), BATCH):
-            at = order[i : i + BATCH]
-            self.batch(target[at], context[at])
+            self.batch(target[i : i + BATCH], context[:, i : i + BATCH])
         self.seen += len(target)
 
     def batch(self, w: np.ndarray, h: np.ndarray) -> None:
-        p = self.p
-        vectors = [p.context[h[:, i]] for i in range(ORDER)]
-        q = sum(v @ c for v, c in zip(vectors, p.mixers))
+        """Learn from the targets ``w``; row i of ``h`` are the classes i + 1 places before them."""
+        p, n = self.p, len(w)
+        vectors = [p.context.take(x, 0) for x in h]
+        q = vectors[0] @ p.mixers[0]
+        for v, c in zip(vectors[1:], p.mixers[1:]):
+            q += v @ c
         noise = np.minimum(np.searchsorted(self.cumulative, self.random.random(NOISE)), CLASSES - 1)
-        own = (q * p.target[w]).sum(1) + p.bias[w] - self.log_noise[w]
-        other = q @ p.target[noise].T + p.bias[noise] - self.log_noise[noise]
+        shift = p.bias - self.log_noise
+        wanted, drawn = p.target.take(w, 0), p.target.take(noise, 0)
+        own = np.einsum("ij,ij->i", q, wanted) + shift.take(w)
+        other = q @ drawn.T
+        other += shift.take(noise)
         up = (1 / (1 + np.exp(np.clip(own, -20, 20)))).astype(np.float32)
-        down = 1 / (1 + np.exp(-np.clip(other, -20, 20)))
-        back = up[:, None] * p.target[w] - down @ p.target[noise]
-        scale = np.float32(1 / np.sqrt(len(w)))
-        index = np.concatenate((w, noise))
-        rows = np.concatenate((up[:, None] * np.column_stack((q, np.ones(len(w), np.float32))), -np.column_stack((down.T @ q, down.sum(0)))))
-        at, g = _grouped(index, rows)
+        np.clip(other, -20, 20, out=other)
+        np.exp(np.negative(other, out=other), out=other)
+        other += 1
+        down = np.reciprocal(other, out=other)
+        back = up[:, None] * wanted
+        back -= down @ drawn
+        scale = np.float32(1 / np.sqrt(n))
+        rows = np.empty((n + NOISE, WIDTH + 1), np.float32)
+        np.multiply(up[:, None], q, out=rows[:n, :WIDTH])
+        rows[:n, WIDTH] = up
+        np.negative(down.T @ q, out=rows[n:, :WIDTH])
+        np.negative(down.sum(0), out=rows[n:, WIDTH])
+        g = _grouped(np.concatenate((w, noise)), rows, CLASSES) * scale
         mixers = np.stack([v.T @ back for v in vectors]) * scale
         contexts = np.concatenate([back @ c.T for c in p.mixers])
-        self.step(1, at, g[:, :WIDTH] * scale)
-        self.step(3, at, g[:, WIDTH] * scale)
-        at, g = _grouped(h.T.ravel(), contexts)
-        self.step(0, at, g * scale)
-        self.step(2, slice(None), mixers)
+        self.step(1, g[:, :WIDTH])
+        self.step(3, g[:, WIDTH])
+        self.step(0, _grouped(h.ravel(), contexts, CLASSES + 1) * scale)
+        self.step(2, mixers)
 
 
 def log_probabilities(p: Parameters, target: np.ndarray, context: np.ndarray) -> np.ndarray:
