@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,34 @@ def test_bpe_merges_like_the_library(library):
         assert pairs.decode(ids).decode() == text
 
 
+def test_bpe_merges_pre_tokens_together(library, monkeypatch):
+    r = np.random.default_rng(8)
+    pairs = bpe.codec(queries.tokenizer_path())
+    letters = list("abcdeinorstéñß数🙂'.,!1")
+    tokens = ["".join(r.choice(letters, n)) for n in [*r.integers(1, 30, 500), bpe.LONG - 1, bpe.LONG, 200]]
+    tokens += ["a" * n for n in range(1, 80)]
+    ids, size = pairs.merge_all(pa.array(["skipped", *tokens], pa.large_string()).slice(1))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [pairs.merge(t.encode()) for t in tokens]
+    # Only long pre-tokens are merged one by one.
+    one_by_one, merge = [], pairs.merge
+    monkeypatch.setattr(pairs, "merge", lambda t: one_by_one.append(t) or merge(t))
+    texts = [" ".join(tokens), None, "", "<|endoftext|>", "see  <|endoftext|>\n 's <|endoftext|><|endoftext|>" + "x" * 90, " ", "a\n", "word" * 40]
+    ids, edge = bpe.encode_column(pa.array(texts), pairs)
+    assert [ids[a:b].tolist() for a, b in zip(edge, edge[1:])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert one_by_one and all(len(t) >= bpe.LONG for t in one_by_one)
+
+
+def test_bpe_digests_of_few_ids_at_a_time(docs, rows, monkeypatch):
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    path, batch = queries.tokenizer_path(), pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["key", "text"])
+    got = []
+    for most in (1 << 18, 7):
+        monkeypatch.setattr(bpe, "JOINED", most)
+        got.append([b.to_pylist() for b in bpe._digests(path, iter([batch]))])
+    assert got[0] == got[1]
+    assert as_counter(bpe.round_trip(docs, path), *names) == Counter(tuple(r.values()) for b in got[0] for r in b)
+
+
 def test_id_files(spark, docs, rows, library):
     folder = scratch_path(spark, "ids")
     idfile.write_ids(docs, folder, queries.tokenizer_path())
