@@ -195,6 +195,27 @@ def test_id_files(spark, docs, rows, library):
     assert Counter((r.doc_id, tuple(r.ids)) for r in idfile.read_ids(spark, folder).collect()) == Counter((i, tuple(x)) for i, x in encoded)
 
 
+@pytest.mark.parametrize("most", [0, 5, 400_000])
+def test_ids_of_pieces(library, most, monkeypatch):
+    r = np.random.default_rng(9)
+    known = idfile.PieceIds(queries.tokenizer_path())
+    monkeypatch.setattr(known, "MOST", most)
+    asked, encode = [], known.encode
+    monkeypatch.setattr(known, "encode", lambda texts: asked.append(len(texts)) or encode(texts))
+    words = ["".join(r.choice(list("abcdeinorstéñß数🙂'.,!1\n"), n)) for n in r.integers(1, 20, 2000)] + ["x" * 100, "<|endoftext|>", "", "a\x85"]
+    for lot in range(4):
+        texts = [" ".join(r.choice(words, n)) for n in r.integers(0, 300, 40)] + [None, "", " ", " <|endoftext|> b", "  c  "]
+        asked.clear()
+        pieces, code, offset, whole = bpe.cut_pieces(pa.array(texts), known.unsafe)
+        ids, size, which = known.ids(pieces, whole)
+        ids, edge = bpe.expand(ids, size, which[code], offset)
+        assert [ids[a:b].tolist() for a, b in zip(edge, edge[1:])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(known.known) <= most and len(known.known_ids) == known.known_size.sum()
+        # Few strings for many pieces.
+        assert asked[0] <= -(-len(pieces) // known.ROW) and sum(asked) < len(pieces) / 2
+        assert lot == 0 or most < 400_000 or sum(asked) < whole + len(pieces) / 8
+
+
 def test_shard_format():
     r = np.random.default_rng(4)
     for values in ([], [5], [0] * 9, r.integers(0, 300, 1000), r.permutation(70_000)):

@@ -17,24 +17,27 @@ Null and empty texts are documents of the end id alone; equal document ids are o
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, UNSAFE, cut_pieces, expand
+from .bpe import UNSAFE, cut_pieces, expand
 from .flat import CACHES, slices
 
 #: Text bytes in a shard: the more, the more pieces are equal.
 LOT_BYTES = 8 << 20
+#: Pieces that match begin with a space and end with a character that is no white space.
+IN_A_ROW = r"^ (?s:.*)[^\s\x0b\x1c-\x1f\x{85}\p{Z}]$"
 HEAD = struct.Struct("<4sIQIQ")
 MAGIC = b"RKID"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
@@ -79,75 +82,91 @@ def read_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return table[rank], per_doc
 
 
-@lru_cache(maxsize=2)
-def _library(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_padding()
-    t.no_truncation()
-    special = "".join("|" + _quoted(x.content) for x in t.get_added_tokens_decoder().values())
-    return t, UNSAFE + special
+class PieceIds:
+    """Ids of pieces of texts by the library's tokenizer.
 
+    A space after a character that is no white space is a border of pre-tokens, and pre-tokens are encoded independently of
+    each other.  So pieces that begin with such a space and end with such a character go to the library in a row: the lengths
+    of the ids in bytes tell where each of them ends.  All other pieces go one by one.
 
-class KnownIds:
-    """Ids of pre-tokens (as bytes) in the memory of a worker; the library encodes a pre-token when it isn't there.
-
-    Pre-tokens are encoded independently of each other, so the library's ids of a text are those of its pre-tokens in a row.
-    What hasn't been used since ``HALF`` other pre-tokens came is forgotten.
+    A worker keeps the ids of the last ``MOST`` pieces of at most ``LENGTH`` bytes.
     """
 
-    HALF, LOT = 250_000, 20_000
+    ROW, LOT, MOST, LENGTH = 128, 200, 400_000, 64
 
     def __init__(self, path: str):
-        self.library = _library(path)[0]
-        self.split = regex.compile(PATTERN).findall
-        self.special = regex.compile("(" + "|".join(regex.escape(x.content) for x in self.library.get_added_tokens_decoder().values()) + ")")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def tokens(self, text: str) -> list[str]:
-        """Pre-tokens and added tokens of a text."""
-        return [t for i, part in enumerate(self.special.split(text)) for t in ([part] if i % 2 else self.split(part))]
-
-    def ids(self, pieces: list[str], whole: int) -> list[bytes]:
-        """Ids of every piece; only the last ``whole`` ones can hold an added token."""
-        plain = len(pieces) - whole
-        cut = [*map(self.split, pieces[:plain]), *map(self.tokens, pieces[plain:])]
-        young, old = self.young, self.old
-        new = []
-        for tokens in cut:
-            for t in tokens:
-                if t not in young:
-                    if t in old:
-                        young[t] = old[t]
-                    else:
-                        young[t] = b""
-                        new.append(t)
-        for i in range(0, len(new), self.LOT):
-            lot = new[i : i + self.LOT]
-            for t, e in zip(lot, self.library.encode_batch_fast(lot, add_special_tokens=False)):
-                young[t] = array("I", e.ids).tobytes()
-        out = [young[t[0]] if len(t) == 1 else b"".join([young[x] for x in t]) for t in cut]
-        if len(young) > self.HALF:
-            self.old, self.young = young, {}
-        return out
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_padding()
+        self.library.no_truncation()
+        added = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        self.unsafe = UNSAFE + "".join("|" + _quoted(x) for x in added)
+        # Pieces side by side must not make up an added token.
+        self.in_a_row = "$^." if any(" " in x for x in added) else IN_A_ROW
+        # A byte-level vocabulary has a letter for every byte.
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.width[[*vocab.values()]] = [*map(len, vocab)]
+        # The pieces of the last lot first, then those of lots before that it had not.
+        self.known, self.known_ids, self.known_size = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per text)."""
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(texts), self.LOT):
+            lists = [e.ids for e in self.library.encode_batch_fast(texts[i : i + self.LOT], add_special_tokens=False)]
+            size.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(size[-1].sum())))
+        return np.concatenate(ids), np.concatenate(size)
+
+    def rows(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per piece) of pieces that can stand in a row."""
+        if not len(pieces):
+            return self.encode([])
+        border = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        raw = memoryview(pieces.buffers()[2])
+        cut = [*border[: -1 : self.ROW].tolist(), int(border[-1])]
+        ids, _ = self.encode([str(raw[a:b], "utf-8") for a, b in zip(cut, cut[1:])])
+        ends = np.cumsum(self.width[ids])
+        last = np.searchsorted(ends, border[1:] - border[0])
+        if len(last) and (last[-1] != len(ids) - 1 or (ends[last] != border[1:] - border[0]).any()):
+            raise ValueError("an id crosses a border of pre-tokens")
+        return ids, np.diff(last, prepend=-1)
+
+    def ids(self, pieces: pa.LargeStringArray, whole: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ids per string, which of these strings every piece is); only the last ``whole`` pieces can hold an added token."""
+        plain = pieces.slice(0, len(pieces) - whole)
+        at = pc.fill_null(pc.index_in(plain, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        asked = plain.take(pa.array(new))
+        row = np.array(pc.match_substring_regex(asked, self.in_a_row))
+        parts = [self.rows(asked.filter(pa.array(row))), self.encode([*asked.filter(pa.array(~row)).to_pylist(), *pieces.slice(len(plain)).to_pylist()])]
+        ids = np.concatenate([self.known_ids, *(p[0] for p in parts)])
+        size = np.concatenate([self.known_size, *(p[1] for p in parts)])
+        at[new[np.concatenate((np.flatnonzero(row), np.flatnonzero(~row)))]] = len(self.known) + np.arange(len(new))
+        which = np.concatenate((at, np.arange(len(size) - whole, len(size))))
+        self.remember(plain, at, ids, size)
+        return ids, size, which
+
+    def remember(self, pieces: pa.LargeStringArray, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        short = np.flatnonzero(np.asarray(pc.binary_length(pieces)) <= self.LENGTH)[: self.MOST]
+        unused = np.ones(len(self.known), bool)
+        unused[at[at < len(unused)]] = False
+        older = np.flatnonzero(unused)[: self.MOST - len(short)]
+        which = np.concatenate((at[short], older))
+        self.known = pa.concat_arrays([pieces.take(pa.array(short)), self.known.take(pa.array(older))])
+        self.known_ids, edge = expand(ids, size, which, np.arange(len(which) + 1))
+        self.known_size = np.diff(edge)
 
 
 @lru_cache(maxsize=2)
-def _known(path: str) -> KnownIds:
-    return KnownIds(path)
-
-
-def _forget() -> None:
-    _known.cache_clear()
-    _library.cache_clear()
+def _library(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
-CACHES["ids"] = _forget
+CACHES["ids"] = _library.cache_clear
 
 
 def _quoted(s: str) -> str:
@@ -155,17 +174,15 @@ def _quoted(s: str) -> str:
 
 
 def _shards(path: str, end_id: int, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _, unsafe = _library(path)
+    library = _library(path)
     part = TaskContext.get().partitionId()
     for seq, rows in enumerate(slices(batches, LOT_BYTES, "ids")):
-        pieces, code, offset, whole = cut_pieces(rows.column(1), unsafe)
-        per_piece = _known(path).ids(pieces.to_pylist(), whole)
-        per_piece.append(array("I", [end_id]).tobytes())
+        pieces, code, offset, whole = cut_pieces(rows.column(1), library.unsafe)
+        flat, size, which = library.ids(pieces, whole)
         # Every document gets one more piece: the end.
-        code = np.insert(code, offset[1:], len(per_piece) - 1)
+        flat, size = np.append(flat, np.uint32(end_id)), np.append(size, 1)
+        code = np.insert(which[code], offset[1:], len(size) - 1)
         offset = offset + np.arange(len(offset))
-        size = np.fromiter(map(len, per_piece), np.int64, len(per_piece)) // 4
-        flat = np.frombuffer(b"".join(per_piece), np.uint32)
         ids, edge = expand(flat, size, code, offset)
         keys = rows.column(0)
         yield pa.RecordBatch.from_arrays(
