@@ -255,6 +255,25 @@ def test_lm_probabilities_add_up():
     assert np.exp(lm.log_probabilities(p, np.arange(lm.CLASSES), context)).sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("scale", [0.1, 1.5, 40.0])
+def test_lm_probabilities_of_large_and_small_scores(scale, monkeypatch):
+    r = np.random.default_rng(6)
+    p = lm.Parameters.initial(np.arange(lm.CLASSES))
+    for x in (p.context, p.target, p.bias):
+        x[:] = r.normal(0, scale / 4, x.shape)
+    n = 700
+    target, context = r.integers(0, lm.CLASSES, n), r.integers(0, lm.CLASSES + 1, (n, lm.ORDER))
+    q = sum(p.context[context[:, j]].astype(float) @ p.mixers[j].astype(float) for j in range(lm.ORDER))
+    s = q @ p.target.T.astype(float) + p.bias
+    want = s[np.arange(n), target] - s.max(1) - np.log(np.exp(s - s.max(1)[:, None]).sum(1))
+    exponentials, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: exponentials.append(x.size) or exp(x, *a, **k))
+    assert lm.log_probabilities(p, target, context) == pytest.approx(want, rel=1e-5, abs=1e-4)
+    # Unless scores are large there are as many exponentials as classes and places take, not some for each token.
+    assert (sum(exponentials) == lm.ORDER * (lm.CLASSES + 1) * lm.CLASSES) == (scale < 40)
+    assert len(lm.log_probabilities(p, target[:0], context[:0])) == 0
+
+
 def test_lm_learns_an_order():
     """After training, a fixed cycle of classes is likelier than by their shares."""
     text = np.tile([3, 8, 1], 4000)

@@ -265,21 +265,29 @@ def log_probabilities(p: Parameters, target: np.ndarray, context: np.ndarray) ->
     longest = sum(np.linalg.norm(t[:, :WIDTH], axis=1).max() for t in table)
     # Scores that stay this small need no shift before the exponential.
     small = longest * np.linalg.norm(p.target, axis=1).max() + np.abs(p.bias).max() < 80
-    ones = np.ones(CLASSES, np.float32)
-    rows = 1024
-    held = np.empty((rows, CLASSES), np.float32)
+    # The scores of all classes after a context are a sum over its places, one row of a matrix each.
+    places = [t @ weights for t in table]
+    powers = [np.exp(x) for x in places] if small else []
+    rows = 256
+    held = np.empty((2, rows, CLASSES), np.float32)
     for i in range(0, len(target), rows):
-        h, w = context[i : i + rows], target[i : i + rows]
-        q = table[0][h[:, 0]]
-        for j in range(1, ORDER):
-            q += table[j][h[:, j]]
-        s = np.matmul(q, weights, out=held[: len(w)])
-        top = 0 if small else s.max(1)
-        own = s[np.arange(len(w)), w] - top
-        if not small:
-            s -= top[:, None]
+        h, w = context[i : i + rows].T, target[i : i + rows]
+        s, other = held[:, : len(w)]
+        own = sum(x[at, w] for x, at in zip(places, h))
+        if small:
+            # Exponentials of a sum are products of exponentials, which need no exponential for each token.
+            powers[0].take(h[0], 0, out=s, mode="clip")
+            for x, at in zip(powers[1:-1], h[1:-1]):
+                s *= x.take(at, 0, out=other, mode="clip")
+            out[i : i + rows] = own - np.log(np.einsum("ij,ij->i", s, powers[-1].take(h[-1], 0, out=other, mode="clip")))
+            continue
+        places[0].take(h[0], 0, out=s, mode="clip")
+        for x, at in zip(places[1:], h[1:]):
+            s += x.take(at, 0, out=other, mode="clip")
+        top = s.max(1)
+        s -= top[:, None]
         np.exp(s, out=s)
-        out[i : i + rows] = own - np.log(s @ ones)
+        out[i : i + rows] = own - top - np.log(s.sum(1))
     return out
 
 
