@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import col, trim_all
+from ..functions.text import SPACE, col
 
 REVIEW = "app_id string, app_name string, author string, rating int, title string, content string, version string, date string, source string, url string"
 COMMENT = "id string, author string, content string, created_at string, points int, story_id string, story_title string, story_url string, source_url string, source string"
@@ -64,8 +64,8 @@ def count_payload(texts: DataFrame, keys: Sequence[str] = tuple(COUNT_KEYS)) ->
 
 
 def first_filled(*candidates: Column | str) -> Column:
-    """First candidate that is neither null nor empty."""
-    return F.coalesce(*[F.when(col(c).cast("string") != "", col(c)) for c in candidates])
+    """First candidate that is neither null nor empty; without one the first that isn't null."""
+    return F.coalesce(*[F.when(col(c).cast("string") != "", col(c)) for c in candidates], *map(col, candidates))
 
 
 def unify_source(rows: DataFrame, mapping: Mapping[str, Sequence[str]], constants: Mapping[str, str] | None = None) -> DataFrame:
@@ -78,12 +78,12 @@ def unify_source(rows: DataFrame, mapping: Mapping[str, Sequence[str]], constant
     return rows.select(*out, *[F.lit(v).alias(k) for k, v in (constants or {}).items()])
 
 
-def unify_sources(parts: Sequence[DataFrame], text: str = "content") -> DataFrame:
-    """Union by name of sources in the common shape; rows without text drop."""
+def unify_sources(parts: Sequence[DataFrame], text: str = "content", space: str = SPACE) -> DataFrame:
+    """Union by name of sources in the common shape; rows whose text is empty or all ``space`` drop."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out.filter(trim_all(F.coalesce(F.col(text), F.lit(""))) != "")
+    return out.filter(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"{space}+", "") != "")
 
 
 def discover_files(spark: SparkSession, folder: str, category: str, suffix: str = ".json") -> DataFrame:
