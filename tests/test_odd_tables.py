@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from tools.check_oracle import TABLES, compare, duck
+from voxlode.operators import similarity as S
 from voxlode.plans import load_all
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +39,17 @@ def test_unify_sources_of_empty_fields(spark, tmp_path):
     check(spark, "unify_sources", tables(
         tmp_path, documents=f"SELECT doc_id, {odd.format('doc_id')}, {fields}, n_chars FROM given", conversations=f"SELECT conv_id, turn, role, {odd.format('(conv_id * 10 + turn)')} FROM given"
     ))
+
+
+@pytest.mark.parametrize("name", ["similar_pairs", "similar_pairs_levels"])
+def test_similar_pairs_lists_all_pairs_of_copies(spark, tmp_path, name):
+    rows = "SELECT * FROM given UNION ALL SELECT vec_id + k * 1000, embedding, label FROM given, range(1, 4) t(k) WHERE vec_id % 5 = 0"
+    check(spark, name, tables(tmp_path, embeddings=rows))
+
+
+def test_similar_pairs_of_more_copies_than_a_row_holds(spark):
+    n = 2 * S.COPIES + 40
+    rows = spark.createDataFrame([(f"{i:04d}", [1.0, 0.0] if i else [1.0, 0.1]) for i in range(n)], "id string, v array<double>")
+    got = S.similar_pairs(rows, "id", "v", 0.9, every=True)
+    assert got.count() == got.select("i", "j").distinct().count() == n * (n - 1) // 2
+    assert got.filter("i >= j").isEmpty() and got.filter("sim < 0.9").isEmpty()
