@@ -5,9 +5,12 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
 from tools.check_oracle import TABLES, compare, duck
+from voxlode.operators import clustering as C
+from voxlode.operators import graph as G
 from voxlode.operators import similarity as S
 from voxlode.plans import load_all
 
@@ -53,3 +56,38 @@ def test_similar_pairs_of_more_copies_than_a_row_holds(spark):
     got = S.similar_pairs(rows, "id", "v", 0.9, every=True)
     assert got.count() == got.select("i", "j").distinct().count() == n * (n - 1) // 2
     assert got.filter("i >= j").isEmpty() and got.filter("sim < 0.9").isEmpty()
+
+
+@pytest.mark.parametrize("whole", [0, None])
+def test_components_by_rounds_and_in_one_task(spark, whole):
+    r = np.random.default_rng(3)
+    i, j = r.integers(0, 900, 700), r.integers(0, 900, 700)
+    edges = spark.createDataFrame([(f"n{a:04d}", f"n{b:04d}") for a, b in zip([*i.tolist(), *range(1000, 1300)], [*j.tolist(), *range(1001, 1301)])], "i string, j string")
+    up = {}
+
+    def find(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for e in edges.collect():
+        a, b = find(e.i), find(e.j)
+        if e.i != e.j:
+            up.setdefault(e.i, e.i), up.setdefault(e.j, e.j)
+            up[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in G.connected_components(edges, whole=whole).collect()}
+    assert got == {x: find(x) for x in up}
+
+
+def test_linkage_of_a_large_component_in_one_task():
+    """Ten thousand vectors of one component need no matrix of all distances and no rounds over the cluster."""
+    assert C.LINKAGE_ROWS >= 10_000
+    r = np.random.default_rng(5)
+    x = np.repeat(r.normal(size=(500, 32)), 20, axis=0) + 0.2 * r.normal(size=(10_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = C._linkage(x, np.ones(len(x)), 0.42)
+    assert (label == np.repeat(np.arange(0, 10_000, 20), 20)).mean() > 0.9 and (label <= np.arange(10_000)).all()
+    small = C._linkage(x[:400], np.ones(400), 0.42)
+    mean = np.stack([x[:400][small == k].mean(axis=0) for k in np.unique(small)])
+    near = mean @ mean.T
+    assert (near[~np.eye(len(near), dtype=bool)] <= 1 - 0.42).all()
