@@ -91,3 +91,14 @@ def test_linkage_of_a_large_component_in_one_task():
     mean = np.stack([x[:400][small == k].mean(axis=0) for k in np.unique(small)])
     near = mean @ mean.T
     assert (near[~np.eye(len(near), dtype=bool)] <= 1 - 0.42).all()
+
+
+def test_need_view_takes_channels_in_turn(spark):
+    """References come from all reviews of a need, so its channels stand side by side however new their reviews are."""
+    rows = load_all()["need_view"].run(spark, SF).collect()
+    channel = lambda x: int(x[4:]) % 3
+    for r in rows:
+        refs, named = r.references.split(","), r.sources.split(",")
+        total = sum(int("".join(c for c in s if c.isdigit())) for s in named)
+        assert len(refs) == len(set(refs)) == min(5, total)
+        assert len({channel(x) for x in refs[: len(named)]}) == min(len(named), len(refs))
