@@ -13,6 +13,7 @@ from voxlode.operators import clustering as C
 from voxlode.operators import graph as G
 from voxlode.operators import similarity as S
 from voxlode.plans import load_all
+from voxlode.session import checkpoint_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,3 +103,13 @@ def test_need_view_takes_channels_in_turn(spark):
         total = sum(int("".join(c for c in s if c.isdigit())) for s in named)
         assert len(refs) == len(set(refs)) == min(5, total)
         assert len({channel(x) for x in refs[: len(named)]}) == min(len(named), len(refs))
+
+
+def test_kmeans_over_all_tasks_leaves_no_rounds_behind(spark):
+    """Labels and centres of a round are deleted when the next one has ended."""
+    x = np.random.default_rng(8).normal(size=(200, 4))
+    df = spark.createDataFrame([(0, i, v.tolist()) for i, v in enumerate(x)], "g long, id long, vec array<double>")
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.glob("kmeans-*"))
+    assert C.split_oversize(df, "g", "id", "vec", task_rows=20).count() == 200
+    assert 1 <= len(set(root.glob("kmeans-*")) - before) <= 2
