@@ -10,6 +10,7 @@ import pytest
 
 from tools.check_oracle import TABLES, compare, duck
 from voxlode.operators import clustering as C
+from voxlode.operators import containment as T
 from voxlode.operators import graph as G
 from voxlode.operators import similarity as S
 from voxlode.plans import load_all
@@ -113,3 +114,20 @@ def test_kmeans_over_all_tasks_leaves_no_rounds_behind(spark):
     before = set(root.glob("kmeans-*"))
     assert C.split_oversize(df, "g", "id", "vec", task_rows=20).count() == 200
     assert 1 <= len(set(root.glob("kmeans-*")) - before) <= 2
+
+
+def test_lowest_contained_keeps_one_round(spark):
+    """Places whose key nobody looks for drop out, and what a round stored is deleted when the next one has ended."""
+    r = np.random.default_rng(4)
+    base = ["".join(r.choice(list("abcdefgh"), 60)) for _ in range(120)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(base)], "r long, text string")
+    asks = spark.createDataFrame([(i, base[i][20:50] if i % 2 else f"xx{base[i]}yy") for i in range(120)], "id long, text string")
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.glob("lowest-*"))
+    got = {x.id: x.r for x in T.lowest_contained(asks, rows).collect()}
+    assert got == {i: i for i in range(120)}
+    assert len(set(root.glob("lowest-*")) - before) == 1
+    keys = spark.createDataFrame([(0, 0, f) for f in range(5)], "id long, kind int, f long")
+    places = spark.createDataFrame([(i, 0, i) for i in range(1000)], "id long, kind int, f long")
+    kept = {x.f for x in T.passing(places, T.filter_of(keys)).collect()}
+    assert kept >= set(range(5)) and len(kept) < 100
